@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from crestline.llm.common import key_of
+from crestline.llm.common import computed_once, key_of
 
 PER_LANGUAGE, LANGUAGES, TEXT_WEIGHT, SURE, SEED = 1500, 32, 40.0, 0.5, 20260101
 #: How often a declared language or an address suffix is right, and the counts behind a host's and a domain's prior.
@@ -159,6 +159,7 @@ def identify(docs: DataFrame, text_weight: float = TEXT_WEIGHT, sure: float = SU
         hosts = F.broadcast(hosts)
     rows = docs.select("*", key_of("host").alias("_h"), key_of("domain").alias("_d"), scored("text").alias("_l"))
     rows = rows.join(hosts, ["_h", "_d"]).select(*docs.columns, "_l", _posterior(F.col("_l"), [*evidence, F.col("_prior")]).alias("_p"))
+    rows = computed_once(rows)
     place = F.array_position("_p", F.array_max("_p")).cast("int")
     silent = F.aggregate("_l", F.lit(0.0), lambda a, b: a + F.abs(b)) == 0
     language = F.when(silent, "und").otherwise(F.element_at(F.lit(names), place))

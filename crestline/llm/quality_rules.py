@@ -114,7 +114,7 @@ def measured(docs: DataFrame) -> DataFrame:
     )
     df = computed_once(df)
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    return df.withColumn("base_failed", failed).drop("_once")
+    return df.withColumn("base_failed", failed)
 
 
 def _measures() -> dict[str, Column]:
