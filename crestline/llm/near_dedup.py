@@ -7,9 +7,10 @@ Jaccard similarity, whatever their sizes. Stored is a 16-bit register per bucket
 leading-zero count and 10 bits of mantissa (mixed with the round). Bands of six registers, 42 of them, bring
 sets of similarity 0.8 together but for a chance of 2e-6.
 
-Copies with equal sets are folded first. Within a band, each set is held against the band's
-least document only (a star), never against all others; after components are known, bands that still
-hold several components have the pairs between different components checked. A pair passes a
+Copies with equal sets are folded first. Within a band, each set is held against one member only, the
+one that meets most others in all bands (a star), then against a second one, never against all others;
+members of bands that still hold several components after that are joined by the rarest shingles of
+their sets, which finds every pair that can be similar and few others. A pair passes a
 collision-corrected estimate from the registers first, with a margin of six standard
 deviations, and then the exact comparison of full sets. Links are followed to components by
 large-star/small-star rounds.
@@ -28,7 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from crestline.llm.common import cut
@@ -40,6 +41,8 @@ _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 COLLISION = 2.0**-10 / 3
 MARGIN = 6 * (0.8 * 0.2 / BUCKETS) ** 0.5
 _WORDS_KEPT = 400_000
+#: Rounds in which the members of a band are held against one of them.
+STARS = 2
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -152,6 +155,35 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(a, "a").join(b, "b").mapInPandas(run, "a long, b long").distinct()
 
 
+def _by_prefix(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """All pairs (a, b) of different components `c` among `rows` (rep, c) that can have the similarity.
+
+    Two sets with Jaccard similarity t share one of the n - ceil(t n) + 1 rarest shingles of
+    each, rarity being any order common to all, and after the first they share, both have enough
+    left to reach the intersection.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for rep, c, s in zip(batch["rep"], batch["c"], batch["s"]):
+                h = np.frombuffer(s, np.int64)
+                yield pd.DataFrame({"rep": rep, "c": c, "n": len(h), "h": h})
+
+    held = rows.join(sets.select(F.col("doc_id").alias("rep"), "s"), "rep")
+    shingles = cut(held.mapInPandas(run, "rep long, c long, n long, h long").distinct())
+    often = shingles.groupBy("h").agg(F.count("*").alias("df")).where("df > 1")
+    # Shingles of one set alone come first in the order, and find no partner.
+    shared = shingles.join(often, "h")
+    alone = Window.partitionBy("rep")
+    place = F.row_number().over(alone.orderBy("df", "h")) + (F.col("n") - F.count("*").over(alone))
+    prefix = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
+    kept = cut(shared.withColumn("place", place).where(F.col("place") <= prefix).select("rep", "c", "n", "h", "place"))
+    side = lambda k: kept.select("h", F.col("rep").alias(k), F.col("n").alias(f"n{k}"), F.col("c").alias(f"c{k}"), F.col("place").alias(f"p{k}"))
+    # What can still be shared from the first common shingle on must reach the least intersection.
+    sized = f"{100 + percent} * (1 + least(na - pa, nb - pb)) >= {percent} * (na + nb)"
+    return side("a").join(side("b"), "h").where(f"a < b and ca <> cb and {sized}").select("a", "b").distinct()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component): the least node reachable from each node of the edges (a, b)."""
     edges = cut(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct())
@@ -177,29 +209,43 @@ def linked(docs: DataFrame, width: int, percent: int = 80) -> DataFrame:
     signed = cut(_signed(docs, width))
     sets = signed.where("key is not null and doc_id is not null")
     heads = sets.groupBy("key").agg(F.min("doc_id").alias("rep"))
-    members = sets.select("doc_id", "key", "regs").join(heads, "key").where("doc_id = rep")
+    members = sets.select("doc_id", "n", "key", "regs").join(heads, "key").where("doc_id = rep")
     band = F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1)))
     width_bytes = 2 * BAND
-    banded = members.select("rep", "regs", band.alias("i")).select(
-        "rep", F.xxhash64("i", F.substring("regs", F.col("i") * width_bytes + 1, F.lit(width_bytes))).alias("band")
+    banded = members.select("rep", "n", "regs", band.alias("i")).select(
+        "rep", "n", F.xxhash64("i", F.substring("regs", F.col("i") * width_bytes + 1, F.lit(width_bytes))).alias("band")
     )
-    shared = banded.groupBy("band").agg(F.min("rep").alias("hub"), F.max("rep").alias("top")).where("hub <> top")
-    rows = cut(banded.join(shared.select("band", "hub"), "band").distinct())
-    met = rows.select("rep").distinct()
-    texts = docs.select(F.col("doc_id").cast("long"), "text").join(met, F.col("doc_id") == F.col("rep"), "left_semi")
+    shared = banded.groupBy("band").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi"), F.count("*").alias("m")).where("lo <> hi")
+    rows = cut(banded.join(shared.select("band", "m"), "band").dropDuplicates(["band", "rep"]))
+    # The member that meets most others is the likeliest centre of a band.
+    central = rows.groupBy("rep").agg(F.sum("m").alias("met"))
+    rows = cut(rows.join(central, "rep"))
+    texts = docs.select(F.col("doc_id").cast("long"), "text").join(central.select("rep"), F.col("doc_id") == F.col("rep"), "left_semi")
     known = cut(_with_sets(texts, width))
-    stars = cut(rows.where("rep <> hub").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct())
-    links = cut(_links(stars, known, percent))
-    found = components(links)
-    # Bands with several components: their pairs across components, but for those checked already.
-    placed = rows.join(found, rows["rep"] == found["node"], "left").select("band", "hub", "rep", F.coalesce("component", "rep").alias("c"))
-    open_ = placed.groupBy("band").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("m")).where("lo <> hi and m > 2")
-    rest = cut(placed.join(open_.select("band"), "band"))
-    left, right = rest.select("band", "hub", F.col("rep").alias("a"), F.col("c").alias("ca")), rest.select("band", F.col("rep").alias("b"), F.col("c").alias("cb"))
-    across = left.join(right, "band").where("a < b and ca <> cb and a <> hub").select("a", "b").distinct()
-    more = cut(_links(across.join(stars, ["a", "b"], "left_anti"), known, percent))
-    if more.limit(1).count():
-        found = components(links.unionByName(more))
+    tested = links = served = None
+    found = docs.sparkSession.createDataFrame([], "node long, component long")
+    pair = lambda x, y: [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
+    for _ in range(STARS):
+        placed = rows.join(found, rows["rep"] == found["node"], "left").withColumn("c", F.coalesce("component", "rep")).drop("node", "component")
+        open_ = placed.groupBy("band").agg(F.min("c").alias("x"), F.max("c").alias("y")).where("x <> y").select("band")
+        placed = placed.join(open_, "band")
+        free = placed if served is None else placed.join(served, ["band", "rep"], "left_anti")
+        hubs = free.groupBy("band").agg(F.max_by(F.struct(F.col("rep").alias("hub"), F.col("c").alias("hc")), F.struct("met", -F.col("rep"))).alias("h")).select("band", "h.*")
+        served = hubs.select("band", F.col("hub").alias("rep")) if served is None else served.unionByName(hubs.select("band", F.col("hub").alias("rep")))
+        served = cut(served)
+        stars = placed.join(hubs, "band").where("c <> hc").select(*pair("hub", "rep")).distinct()
+        stars = cut(stars if tested is None else stars.join(tested, ["a", "b"], "left_anti"))
+        new = cut(_links(stars, known, percent))
+        tested = stars if tested is None else tested.unionByName(stars)
+        links = new if links is None else links.unionByName(new)
+        found = components(links)
+    # Members of bands that still hold several components are joined by their rarest shingles.
+    placed = rows.join(found, rows["rep"] == found["node"], "left").select("band", "rep", F.coalesce("component", "rep").alias("c"))
+    open_ = placed.groupBy("band").agg(F.min("c").alias("x"), F.max("c").alias("y"), F.count("*").alias("m")).where(f"x <> y and m > {STARS + 1}").select("band")
+    rest = cut(placed.join(open_, "band").select("rep", "c").distinct())
+    across = cut(_by_prefix(rest, known, percent).join(tested, ["a", "b"], "left_anti"))
+    if across.limit(1).count():
+        found = components(links.unionByName(_links(across, known, percent)))
     by_rep = heads.join(found, heads["rep"] == found["node"], "left").select("key", F.coalesce("component", "rep").alias("_c"))
     out = signed.select("doc_id", "n", "key").join(by_rep, "key", "left")
     component = F.coalesce("_c", "doc_id")
