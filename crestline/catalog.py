@@ -1,15 +1,336 @@
-"""The queries of the library's own operators."""
+"""The queries of the library's own operators, each with the same result in SQL where SQL can express it."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from crestline.functions import calendar as cal
+from crestline.operators import diagnostics as dia
+from crestline.operators import ingest as ing
+from crestline.operators import model as mod
+from crestline.operators import simulation as sim
+from crestline.sources import panels
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+Query = Callable[[SparkSession, str], DataFrame]
+_QUERIES: dict[str, Query] = {}
+_SQL: dict[str, str] = {}
+
+TAUS = [0.1, 0.5, 0.9]
+
+#: Panels in SQL.
+P1 = """p1 AS (SELECT event_type AS app_id, 'P' || (user_id % 2) AS lpar, CAST(ts AS DATE) AS business_date, CAST(hour(ts) - 8 AS INT) AS interval_idx,
+  CAST(year(ts) + (month(ts) >= 11)::INT AS INT) AS fiscal_year, sum(value) AS mips FROM events WHERE isodow(ts) <= 5 AND hour(ts) BETWEEN 8 AND 16 GROUP BY ALL)"""
+P2 = """p2 AS (SELECT l_returnflag || l_linestatus AS app_id, l_linestatus AS lpar, CAST(l_shipdate AS DATE) AS business_date, 0 AS interval_idx,
+  CAST(year(l_shipdate) + (month(l_shipdate) >= 11)::INT AS INT) AS fiscal_year, sum(l_extendedprice) AS mips FROM lineitem WHERE isodow(l_shipdate) <= 5 GROUP BY ALL)"""
+P3 = """p3 AS (SELECT l_returnflag AS app_id, 'P' AS lpar, CAST(l_shipdate AS DATE) AS business_date, CAST((l_linenumber - 1) % 3 AS INT) AS interval_idx,
+  CAST(year(l_shipdate) + (month(l_shipdate) >= 11)::INT AS INT) AS fiscal_year, sum(l_extendedprice) AS mips FROM lineitem WHERE isodow(l_shipdate) <= 5 GROUP BY ALL)"""
+WIN = """win AS (SELECT r::INT AS event_seq, CASE r % 3 WHEN 0 THEN 'DR' WHEN 1 THEN 'IST' ELSE 'GCC_SDF' END AS kind, CASE WHEN r % 2 = 0 THEN '*' ELSE 'P0' END AS w_lpar,
+  date_trunc('hour', ts) AS s, date_trunc('hour', ts) + INTERVAL 2 HOUR AS e FROM (SELECT ts, row_number() OVER (ORDER BY value DESC, event_id) - 1 AS r FROM events
+  WHERE event_type = 'error' AND isodow(ts) <= 5 AND hour(ts) BETWEEN 8 AND 16 ORDER BY r LIMIT 6))"""
+COIN = """apps AS (SELECT lpar, business_date, fiscal_year, sum(peak) AS sum_app_peaks, count(*) AS n_apps FROM (SELECT lpar, business_date, fiscal_year, app_id, max(mips) AS peak FROM p1 GROUP BY ALL) GROUP BY ALL),
+whole AS (SELECT lpar, business_date, max(v) AS peak_of_sum, arg_max(interval_idx, (v, -interval_idx)) AS peak_interval_idx FROM (SELECT lpar, business_date, interval_idx, sum(mips) AS v FROM p1 GROUP BY ALL) GROUP BY ALL),
+coin AS (SELECT lpar, business_date, fiscal_year, sum_app_peaks, n_apps, peak_of_sum, peak_interval_idx, peak_of_sum / nullif(sum_app_peaks, 0) AS coincidence, peak_of_sum > sum_app_peaks AS unattributed FROM apps JOIN whole USING (lpar, business_date))"""
+SUBS = """subs AS (SELECT app_id, fiscal_year + 1 AS fiscal_year, max(mips) * (0.8 + 0.1 * (ascii(app_id) % 5)) AS submitted_peak_mips FROM p2 GROUP BY app_id, fiscal_year),
+bias AS (SELECT app_id, fiscal_year, realised, submitted_peak_mips, submitted_peak_mips / realised AS ratio, submitted_peak_mips - realised AS difference, ln(submitted_peak_mips / realised) AS log_ratio
+  FROM (SELECT app_id, fiscal_year, max(mips) AS realised FROM p2 GROUP BY ALL) JOIN subs USING (app_id, fiscal_year))"""
+DAILY = "daily AS (SELECT lpar, fiscal_year, business_date, sum(mips) AS daily_peak, avg(mips) AS daily_mean FROM p2 GROUP BY ALL)"
+DENSE = """dense AS (SELECT app_id, business_date, 0 AS interval_idx, mips FROM (SELECT DISTINCT app_id FROM p2) CROSS JOIN (SELECT DISTINCT business_date FROM p2)
+  LEFT JOIN (SELECT app_id, business_date, sum(mips) AS mips FROM p2 GROUP BY ALL) USING (app_id, business_date))"""
+
+
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    def add(f: Query) -> Query:
+        _QUERIES[f.__name__] = lambda spark, sf_dir: rounded(f(spark, sf_dir))
+        if sql:
+            _SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def rounded(df: DataFrame) -> DataFrame:
+    """Doubles to six places, so that the order of additions doesn't show."""
+    return df.select(*[F.round(c, 6).alias(c) if kind == "double" else F.col(c) for c, kind in df.dtypes])
+
+
+def _r(*columns: str) -> str:
+    return ", ".join(f"round({c}, 6) AS {c}" for c in columns)
+
+
+@query(f"WITH {P1}, {COIN} SELECT lpar, business_date, fiscal_year, n_apps, peak_interval_idx, unattributed, {_r('sum_app_peaks', 'peak_of_sum', 'coincidence')} FROM coin")
+def dia1_coincidence(spark, sf_dir):
+    return dia.coincidence(panels.hourly(spark, sf_dir))
+
+
+@query(f"""WITH {P1}, {COIN} SELECT lpar, fiscal_year, count(*) AS n_days, round(avg(coincidence), 6) AS mean_c, round(median(coincidence), 6) AS median_c, round(quantile_cont(coincidence, .05), 6) AS p05_c,
+  round(quantile_cont(coincidence, .95), 6) AS p95_c, round(min(coincidence), 6) AS min_c, round(max(coincidence), 6) AS max_c, count(*) FILTER (unattributed) AS n_unattributed FROM coin GROUP BY ALL""")
+def dia2_coincidence_summary(spark, sf_dir):
+    return dia.coincidence_summary(dia.coincidence(panels.hourly(spark, sf_dir)))
+
+
+@query(f"""WITH {P1}, {COIN} SELECT count(*) AS n_days, round(avg(coincidence), 6) AS mean_c, round(quantile_cont(coincidence, .05), 6) AS p05_c, round(quantile_cont(coincidence, .95), 6) AS p95_c,
+  round(avg(sum_app_peaks - peak_of_sum), 6) AS mean_over, round(avg((sum_app_peaks - peak_of_sum) / nullif(peak_of_sum, 0) * 100), 6) AS mean_over_pct, count(*) FILTER (unattributed) AS n_unattributed FROM coin""")
+def dia7_headline(spark, sf_dir):
+    return dia.headline(dia.coincidence(panels.hourly(spark, sf_dir)))
+
+
+@query(f"""WITH {P1} SELECT app_id, lpar, count(*) AS n_rows, count(DISTINCT business_date) AS n_days, count(*) FILTER (mips IS NULL) AS n_null, count(*) FILTER (mips = 0) AS n_zero, round(avg(mips), 6) AS mean_mips,
+  round(max(mips), 6) AS max_mips, round(quantile_cont(mips, .99), 6) AS p99_mips, round(max(mips) / nullif(avg(mips), 0), 6) AS peak_to_mean FROM p1 GROUP BY ALL""")
+def dia3_profile(spark, sf_dir):
+    return dia.profile(panels.hourly(spark, sf_dir))
+
+
+@query(f"""WITH {P1}, a AS (SELECT app_id, business_date, arg_max(interval_idx, (mips, -interval_idx)) AS interval_idx FROM p1 GROUP BY ALL)
+  SELECT app_id, interval_idx, n_days, round(n_days / sum(n_days) OVER (PARTITION BY app_id), 6) AS share FROM (SELECT app_id, interval_idx, count(*) AS n_days FROM a GROUP BY ALL)""")
+def dia4_peak_spread(spark, sf_dir):
+    return dia.peak_spread(panels.hourly(spark, sf_dir))
+
+
+def _submissions(p2: DataFrame) -> DataFrame:
+    factor = F.lit(0.8) + F.lit(0.1) * (F.ascii("app_id") % 5)
+    return p2.groupBy("app_id", "fiscal_year").agg((F.max("mips") * F.first(factor)).alias("submitted_peak_mips")).withColumn("fiscal_year", F.col("fiscal_year") + 1)
+
+
+@query(f"WITH {P2}, {SUBS} SELECT app_id, fiscal_year, {_r('realised', 'submitted_peak_mips', 'ratio', 'difference', 'log_ratio')} FROM bias")
+def dia5_submission_bias(spark, sf_dir):
+    p2 = panels.daily(spark, sf_dir)
+    return dia.submission_bias(p2, _submissions(p2))
+
+
+@query(f"""WITH {P2}, {SUBS} SELECT app_id, count(*) AS n_cycles, round(avg(ratio), 6) AS mean_ratio, round(exp(avg(log_ratio)), 6) AS geo_ratio, round(stddev_samp(log_ratio), 6) AS sd_log, count(*) FILTER (ratio > 1) AS n_over,
+  count(*) FILTER (ratio < 1) AS n_under, round(greatest(count(*) FILTER (ratio > 1), count(*) FILTER (ratio < 1)) / count(*), 6) AS sign_consistency FROM bias GROUP BY app_id""")
+def dia6_bias_summary(spark, sf_dir):
+    p2 = panels.daily(spark, sf_dir)
+    return dia.bias_summary(dia.submission_bias(p2, _submissions(p2)))
+
+
+@query("""WITH d AS (SELECT CAST(d AS DATE) AS d FROM generate_series(DATE '2024-01-01', DATE '2026-12-31', INTERVAL 1 DAY) g(d) WHERE isodow(d) <= 5),
+m AS (SELECT d, CAST(year(d) + (month(d) >= 11)::INT AS INT) AS fy, count(*) OVER (PARTITION BY year(d), month(d) ORDER BY d ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) < 2 AS month_end FROM d)
+SELECT d AS business_date, fy AS fiscal_year, month_end, month_end AND month(d) % 3 = 0 AS quarter_end,
+  round((d - make_date(fy - 1, 11, 1)) / (make_date(fy, 11, 1) - 1 - make_date(fy - 1, 11, 1)), 6) AS fy_position FROM m""")
+def cal_days(spark, sf_dir):
+    return cal.days(spark, date(2024, 1, 1), date(2026, 12, 31))
+
+
+@query("""SELECT event_id, CASE WHEN hour(ts) BETWEEN 8 AND 16 AND minute(ts) % 15 = 0 THEN ((hour(ts) * 60 + minute(ts) - 480) // 15)::INT ELSE -1 END AS interval_idx,
+  CAST(year(ts) + (month(ts) >= 11)::INT AS INT) AS fiscal_year, isodow(ts) <= 5 AS is_business FROM events""")
+def cal_interval_index(spark, sf_dir):
+    grid, ts = cal.Grid(minutes=15), F.col("ts")
+    return panels.table(spark, sf_dir, "events").select("event_id", cal.interval_index(ts, grid).alias("interval_idx"), cal.fiscal_year(F.to_date(ts)).alias("fiscal_year"), cal.business_day(F.to_date(ts)).alias("is_business"))
+
+
+def _raw(spark, sf_dir) -> DataFrame:
+    env = F.when(F.col("user_id") % 7 == 0, "TEST").otherwise("PROD")
+    return panels.table(spark, sf_dir, "events").select(
+        F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("ts"), F.col("event_type").alias("app_id"), F.concat(F.lit("P"), F.col("user_id") % 2).alias("lpar"), env.alias("environment"), F.col("value").alias("msu")
+    )
+
+
+@query("""WITH r AS (SELECT date_trunc('hour', ts) AS ts, user_id % 7 <> 0 AS env, hour(ts) BETWEEN 8 AND 16 AND isodow(ts) <= 5 AS prime FROM events)
+SELECT count(*) AS rows_in, count(*) FILTER (NOT env) AS dropped_non_prod, count(*) FILTER (env AND NOT prime) AS dropped_off_prime, count(*) FILTER (env AND prime) AS rows_out,
+  min(CAST(ts AS DATE)) FILTER (env AND prime) AS first_date, max(CAST(ts AS DATE)) FILTER (env AND prime) AS last_date FROM r""")
+def ing_scope_report(spark, sf_dir):
+    return ing.scope_report(_raw(spark, sf_dir), ["PROD"])
+
+
+@query("""WITH r AS (SELECT 'P' || (user_id % 2) AS lpar, value AS msu, CASE WHEN user_id % 2 = 0 THEN .8 ELSE 1.0 END::DOUBLE AS ratio FROM events WHERE user_id % 7 <> 0 AND hour(ts) BETWEEN 8 AND 16 AND isodow(ts) <= 5)
+SELECT lpar, round(ratio, 6) AS capture_ratio, 6.0::DOUBLE AS mips_per_msu, count(*) AS n_rows, round(avg(msu * 6 / ratio), 6) AS mean_mips, round(max(msu * 6 / ratio), 6) AS max_mips FROM r GROUP BY ALL""")
+def ing_normalise_audit(spark, sf_dir):
+    return ing.audit(ing.normalise(ing.scope(_raw(spark, sf_dir), ["PROD"]), {"P0": 0.8}, 1.0, 6.0))
+
+
+@query(f"""WITH {P1}, t AS (SELECT app_id FROM p1 GROUP BY app_id ORDER BY avg(mips) DESC, app_id LIMIT 4)
+SELECT app_id, lpar, business_date, interval_idx, fiscal_year, round(mips, 6) AS mips FROM p1 WHERE app_id IN (SELECT app_id FROM t)""")
+def ing_top_apps(spark, sf_dir):
+    return ing.top_apps(panels.hourly(spark, sf_dir), 4)
+
+
+@query(f"""WITH {P2}, {DENSE}, o AS (SELECT *, row_number() OVER w AS pos FROM dense WINDOW w AS (PARTITION BY app_id, interval_idx ORDER BY business_date)),
+k AS (SELECT *, last_value(CASE WHEN mips IS NOT NULL THEN pos END IGNORE NULLS) OVER (PARTITION BY app_id ORDER BY pos ROWS UNBOUNDED PRECEDING) AS pa, last_value(mips IGNORE NULLS) OVER (PARTITION BY app_id ORDER BY pos ROWS UNBOUNDED PRECEDING) AS a,
+  first_value(CASE WHEN mips IS NOT NULL THEN pos END IGNORE NULLS) OVER (PARTITION BY app_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS pb, first_value(mips IGNORE NULLS) OVER (PARTITION BY app_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS b FROM o)
+SELECT app_id, business_date, interval_idx, round(coalesce(mips, a + (b - a) * (pos - pa) / nullif(pb - pa, 0), a, b), 6) AS mips, mips IS NULL AS is_filled FROM k""")
+def ing_fill(spark, sf_dir):
+    return ing.fill(panels.daily(spark, sf_dir))
+
+
+_LABELLED = f"""{P1}, {WIN}, lab AS (SELECT app_id, lpar, business_date, interval_idx, arg_min(kind, event_seq) AS event_label FROM p1 LEFT JOIN win
+  ON business_date + to_hours(interval_idx + 8) >= s AND business_date + to_hours(interval_idx + 8) < e AND (w_lpar = '*' OR w_lpar = lpar) GROUP BY ALL)"""
+
+
+def _labelled(spark, sf_dir) -> DataFrame:
+    at = F.col("business_date").cast("timestamp_ntz") + F.make_dt_interval(hours=F.col("interval_idx") + 8)
+    return ing.label(panels.hourly(spark, sf_dir).withColumn("ts", at), panels.windows(spark, sf_dir))
+
+
+@query(f"WITH {_LABELLED} SELECT app_id, lpar, business_date, interval_idx, event_label, event_label IS NOT NULL AS is_anomaly FROM lab")
+def evt_labels(spark, sf_dir):
+    return _labelled(spark, sf_dir).select("app_id", "lpar", "business_date", "interval_idx", "event_label", "is_anomaly")
+
+
+@query(f"WITH {_LABELLED} SELECT business_date FROM lab GROUP BY 1 HAVING count(event_label) = 0")
+def evt_clean_days(spark, sf_dir):
+    return ing.clean_days(_labelled(spark, sf_dir))
+
+
+@query(f"""WITH {P2}, n AS (SELECT *, count(*) OVER (PARTITION BY app_id) AS n, CASE WHEN count(mips) OVER w >= 5 THEN quantile_cont(mips, .5) OVER w END AS m0 FROM p2 WINDOW w AS (PARTITION BY app_id ORDER BY business_date ROWS BETWEEN 10 PRECEDING AND 9 FOLLOWING)),
+m AS (SELECT *, coalesce(m0, first_value(m0 IGNORE NULLS) OVER (PARTITION BY app_id ORDER BY business_date ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), last_value(m0 IGNORE NULLS) OVER (PARTITION BY app_id ORDER BY business_date ROWS UNBOUNDED PRECEDING)) AS m FROM n),
+d AS (SELECT *, abs(mips - m) AS d FROM m), s0 AS (SELECT *, CASE WHEN count(d) OVER w >= 5 THEN quantile_cont(d, .5) OVER w END AS s0 FROM d WINDOW w AS (PARTITION BY app_id ORDER BY business_date ROWS BETWEEN 10 PRECEDING AND 9 FOLLOWING)),
+s AS (SELECT *, 1.4826 * coalesce(s0, first_value(s0 IGNORE NULLS) OVER (PARTITION BY app_id ORDER BY business_date ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), last_value(s0 IGNORE NULLS) OVER (PARTITION BY app_id ORDER BY business_date ROWS UNBOUNDED PRECEDING)) AS s FROM s0)
+SELECT app_id, business_date, round(coalesce(CASE WHEN n >= 10 THEN (mips - m) / nullif(s, 0) END, 0), 6) AS z, coalesce(CASE WHEN n >= 10 THEN (mips - m) / nullif(s, 0) END, 0) > 6 AS is_spike FROM s""")
+def evt_spikes(spark, sf_dir):
+    return ing.spikes(panels.daily(spark, sf_dir)).select("app_id", "business_date", "z", "is_spike")
+
+
+@query(f"WITH {P2}, {DENSE} SELECT app_id, business_date, interval_idx, round(mips, 6) AS mips, " + ", ".join(f"round(lag(mips, {k}) OVER w, 6) AS lag_{k}" for k in mod.LAGS) + ", "
+       + ", ".join(f"round(avg(mips) OVER w{w}, 6) AS mean_{w}, round(stddev_pop(mips) OVER w{w}, 6) AS std_{w}" for w in mod.ROLLS)
+       + " FROM dense WINDOW w AS (PARTITION BY app_id, interval_idx ORDER BY business_date), " + ", ".join(f"w{w} AS (PARTITION BY app_id, interval_idx ORDER BY business_date ROWS BETWEEN {w} PRECEDING AND 1 PRECEDING)" for w in mod.ROLLS))
+def fea_lags_rolling(spark, sf_dir):
+    return mod.lag_features(ing.densify(panels.daily(spark, sf_dir)))
+
+
+@query(f"WITH {P2} SELECT app_id, round(greatest(coalesce(median(mips), 1), 1), 6) AS scale FROM p2 GROUP BY app_id")
+def fea_scales(spark, sf_dir):
+    return mod.scales(panels.daily(spark, sf_dir))
+
+
+@query(f"""WITH {P2}, d AS (SELECT app_id, business_date, median(mips) AS m FROM p2 GROUP BY ALL HAVING median(mips) > 0), x AS (SELECT *, (business_date - min(business_date) OVER (PARTITION BY app_id)) / 365.25 AS x FROM d)
+SELECT app_id, round(greatest(-.15, least(.4, CASE WHEN count(*) >= 30 THEN regr_slope(ln(m), x) ELSE 0 END)), 6) AS growth, count(*) AS n_days FROM x GROUP BY app_id""")
+def mod_growth(spark, sf_dir):
+    return mod.growth(panels.daily(spark, sf_dir))
+
+
+@query(f"WITH {P3} SELECT app_id, interval_idx, round(coalesce(greatest(.8, least(1.6, avg(mips) / nullif(median(mips), 0))), 1), 6) AS feed FROM p3 GROUP BY ALL")
+def mod_feed_correction(spark, sf_dir):
+    return mod.feed_correction(panels.thirds(spark, sf_dir))
+
+
+_LAST = "(SELECT DISTINCT business_date FROM {} ORDER BY business_date DESC LIMIT 250)"
+
+
+@query(f"""WITH {P3} SELECT app_id, interval_idx, CAST(isodow(business_date) - 1 AS INT) AS dow, tau, round(quantile_cont(mips, [.1, .5, .9])[i], 6) AS value
+FROM p3, (VALUES (.1::DOUBLE, 1), (.5::DOUBLE, 2), (.9::DOUBLE, 3)) t(tau, i) WHERE business_date IN {_LAST.format('p3')} GROUP BY app_id, interval_idx, dow, tau, i""")
+def bas_climatology(spark, sf_dir):
+    return mod.climatology(panels.thirds(spark, sf_dir), TAUS)
+
+
+@query(f"""WITH {P3}, l AS (SELECT *, CAST(isodow(business_date) - 1 AS INT) AS dow, lag(mips) OVER (PARTITION BY app_id, interval_idx, isodow(business_date) ORDER BY business_date) AS prev FROM p3),
+b AS (SELECT app_id, interval_idx, dow, arg_max(mips, business_date) AS base FROM l GROUP BY ALL),
+r AS (SELECT app_id, interval_idx, quantile_cont(mips / prev, [.1, .5, .9]) AS q FROM l WHERE prev > 0 AND business_date IN {_LAST.format('p3')} GROUP BY ALL)
+SELECT app_id, interval_idx, dow, tau, round(base * coalesce(q[i], 1), 6) AS value FROM b JOIN r USING (app_id, interval_idx), (VALUES (.1::DOUBLE, 1), (.5::DOUBLE, 2), (.9::DOUBLE, 3)) t(tau, i)""")
+def bas_seasonal_naive(spark, sf_dir):
+    return mod.seasonal_naive(panels.thirds(spark, sf_dir), TAUS)
+
+
+_SCORED = f"""{P3}, taus AS (SELECT * FROM (VALUES (.1::DOUBLE, 1), (.5::DOUBLE, 2), (.9::DOUBLE, 3)) t(tau, i)), fit AS (SELECT app_id, interval_idx, quantile_cont(mips, [.1, .5, .9]) AS q FROM p3 WHERE year(business_date) < 2000 GROUP BY ALL),
+scored AS (SELECT app_id, tau, mips AS y, q[i] AS q FROM p3 JOIN fit USING (app_id, interval_idx), taus WHERE year(business_date) >= 2000)"""
+
+
+def _scored(spark, sf_dir) -> DataFrame:
+    rows = panels.thirds(spark, sf_dir)
+    fit = rows.where(F.year("business_date") < 2000).groupBy("app_id", "interval_idx").agg(F.percentile("mips", F.array(*map(F.lit, TAUS))).alias("q"))
+    fit = fit.select("app_id", "interval_idx", F.inline(F.arrays_zip(F.array(*map(F.lit, TAUS)).alias("tau"), F.col("q"))))
+    fit = fit.toDF("app_id", "interval_idx", "tau", "q")
+    return rows.where(F.year("business_date") >= 2000).join(fit, ["app_id", "interval_idx"]).select("app_id", "tau", F.col("mips").alias("y"), "q")
+
+
+@query(f"""WITH {_SCORED} SELECT *, round(error_ / sqrt(tau * (1 - tau) / n), 6) AS z, round(error_, 6) AS error FROM (SELECT tau, round(avg((y <= q)::INT), 6) AS empirical, count(*) AS n, round(avg(greatest(tau * (y - q), (tau - 1) * (y - q))), 6) AS pinball,
+  avg((y <= q)::INT) - tau AS error_ FROM scored GROUP BY tau)""".replace("SELECT *, round(error_ /", "SELECT tau, empirical, n, pinball, round(error_ /"))
+def eva_coverage(spark, sf_dir):
+    return mod.coverage(_scored(spark, sf_dir))
+
+
+@query(f"""WITH {_SCORED}, s AS (SELECT app_id, tau, y - q AS s FROM scored),
+o AS (SELECT app_id, tau, list(s ORDER BY s) AS l, count(*) AS n FROM s GROUP BY ALL), p AS (SELECT tau, list(s ORDER BY s) AS l, count(*) AS n FROM s GROUP BY ALL)
+SELECT o.app_id, o.tau, round(CASE WHEN o.n < 200 THEN p.l[ceil(round(least(1, ceil((p.n + 1) * p.tau) / p.n) * (p.n - 1), 9))::INT + 1] ELSE o.l[ceil(round(least(1, ceil((o.n + 1) * o.tau) / o.n) * (o.n - 1), 9))::INT + 1] END, 6) AS adj, o.n < 200 AS used_pooled, o.n AS n_scores FROM o JOIN p USING (tau)""")
+def con_conformal(spark, sf_dir):
+    return mod.conformal(_scored(spark, sf_dir))
+
+
+@query(f"""WITH {P2}, {DAILY}, x AS (SELECT *, max(daily_peak) OVER m AS mp, row_number() OVER (PARTITION BY lpar, fiscal_year, year(business_date), month(business_date) ORDER BY business_date) = 1 AS mf,
+  row_number() OVER (PARTITION BY lpar, fiscal_year ORDER BY daily_peak DESC, business_date) AS dr FROM daily WINDOW m AS (PARTITION BY lpar, fiscal_year, year(business_date), month(business_date)))
+SELECT lpar, fiscal_year, round(max(daily_peak), 6) AS annual_max, round(quantile_cont(daily_peak, .95), 6) AS p95_of_daily_peaks, round(quantile_cont(daily_peak, .99), 6) AS p99_of_daily_peaks, round(avg(daily_peak), 6) AS mean_of_daily_peaks,
+  round(avg(daily_mean), 6) AS mean_daily_mean, round(avg(mp) FILTER (mf), 6) AS mean_of_monthly_peaks, round(max(mp), 6) AS max_of_monthly_peaks, round(avg(daily_peak) FILTER (dr <= 4), 6) AS top4_mean_of_daily_peaks FROM x GROUP BY ALL""")
+def red_reducers(spark, sf_dir):
+    daily = panels.daily(spark, sf_dir).groupBy("lpar", "fiscal_year", "business_date").agg(F.sum("mips").alias("daily_peak"), F.avg("mips").alias("daily_mean"))
+    return mod.reduced(daily, ["lpar", "fiscal_year"])
+
+
+@query(f"""WITH {P1}, s AS (SELECT lpar, business_date, interval_idx, sum(mips) AS mips FROM p1 GROUP BY ALL), w AS (SELECT *, avg(mips) OVER o AS a, count(*) OVER o AS c FROM s WINDOW o AS (PARTITION BY lpar ORDER BY business_date, interval_idx ROWS 3 PRECEDING))
+SELECT lpar, business_date, round(coalesce(max(a) FILTER (c = 4), 0), 6) AS r4ha FROM w GROUP BY ALL""")
+def sim_r4ha(spark, sf_dir):
+    rows = panels.hourly(spark, sf_dir).groupBy("lpar", "business_date", "interval_idx").agg(F.sum("mips").alias("mips"))
+    return mod.r4ha(rows, ["lpar"], 4)
+
+
+_RES = f"""{P3}, fit AS (SELECT app_id, interval_idx, median(mips) AS med, quantile_cont(mips, .1) AS q10, quantile_cont(mips, .9) AS q90 FROM p3 GROUP BY ALL),
+fit2 AS (SELECT *, greatest((q90 - q10) / 2, greatest(abs(med) * .02, .1)) AS half FROM fit),
+res AS (SELECT app_id, business_date, interval_idx, med, half, greatest(-8, least(8, (mips - med) / half)) AS r FROM p3 JOIN fit2 USING (app_id, interval_idx)),
+good AS (SELECT business_date, row_number() OVER (ORDER BY business_date) - 1 AS pool_idx FROM res GROUP BY business_date HAVING count(r) = (SELECT count(DISTINCT (app_id, interval_idx)) FROM res)),
+cells AS (SELECT pool_idx, app_id, interval_idx, greatest(0, med + r * half) AS x FROM res JOIN good USING (business_date))"""
+
+
+def _residuals(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    rows = panels.thirds(spark, sf_dir)
+    q = F.percentile("mips", F.array(*map(F.lit, TAUS)))
+    fit = rows.groupBy("app_id", "interval_idx").agg(q.alias("q")).select("app_id", "interval_idx", F.col("q")[1].alias("med"), F.col("q")[0].alias("q10"), F.col("q")[2].alias("q90"))
+    half = F.greatest((F.col("q90") - F.col("q10")) / 2, F.greatest(F.abs("med") * 0.02, F.lit(0.1)))
+    return sim.residuals(rows, fit), fit.withColumn("half", half)
+
+
+@query(f"WITH {_RES} SELECT app_id, business_date, interval_idx, round(r, 6) AS r, CAST(pool_idx AS INT) AS pool_idx FROM res JOIN good USING (business_date)")
+def dep_pool(spark, sf_dir):
+    return sim.pool(_residuals(spark, sf_dir)[0])
+
+
+@query(f"WITH {_RES} SELECT x.app_id AS a, y.app_id AS b, round(corr(x.r, y.r), 6) AS corr, count(*) AS n FROM res x JOIN res y USING (business_date, interval_idx) WHERE x.app_id < y.app_id GROUP BY ALL")
+def dep_correlation(spark, sf_dir):
+    return sim.correlation(_residuals(spark, sf_dir)[0])
+
+
+@query(f"""WITH {P3}, s AS (SELECT business_date, max(s) AS num FROM (SELECT business_date, interval_idx, sum(mips) AS s FROM p3 GROUP BY ALL) GROUP BY 1), a AS (SELECT business_date, sum(m) AS den FROM (SELECT business_date, app_id, max(mips) AS m FROM p3 GROUP BY ALL) GROUP BY 1)
+SELECT business_date, CAST(isodow(business_date) - 1 AS INT) AS dow, round(num / den, 6) AS factor FROM s JOIN a USING (business_date) WHERE den > 0""")
+def dep_factor(spark, sf_dir):
+    return sim.factor(panels.thirds(spark, sf_dir))
+
+
+@query(f"""WITH {_RES}, n AS (SELECT count(*) AS n FROM good), dr AS (SELECT p AS path_id, CAST(d AS INT) AS day_idx, (p * 1103515245 + d * 12345 + 20260101) % n AS pool_idx FROM range(200) a(p), range(30) b(d), n),
+su AS (SELECT pool_idx, max(s) AS peak, avg(s) AS mean FROM (SELECT pool_idx, interval_idx, sum(x) AS s FROM cells GROUP BY ALL) GROUP BY 1), ap AS (SELECT pool_idx, sum(m) AS sum_app_peaks FROM (SELECT pool_idx, app_id, max(x) AS m FROM cells GROUP BY ALL) GROUP BY 1)
+SELECT path_id, day_idx, {_r('peak', 'mean', 'sum_app_peaks')} FROM dr JOIN su USING (pool_idx) JOIN ap USING (pool_idx)""")
+def sim_paths(spark, sf_dir):
+    res, fit = _residuals(spark, sf_dir)
+    pooled = sim.pool(res)
+    n = pooled.agg(F.max("pool_idx")).first()[0]
+    if n is None:
+        n = -1
+    pick = (F.col("path_id") * 1103515245 + F.col("day_idx") * 12345 + 20260101) % F.lit(max(1, n + 1))
+    return sim.simulate(sim.draws(spark, 200, 30, pick), pooled, fit.select("app_id", "interval_idx", "med", "half"))
+
+
+@query()
+def sim_paths_hashed(spark, sf_dir):
+    """1,000 paths of 60 days with the production draw; SQL has no such hash."""
+    res, fit = _residuals(spark, sf_dir)
+    pooled = sim.pool(res)
+    n = (pooled.agg(F.max("pool_idx")).first()[0] or 0) + 1
+    drawn = sim.draws(spark, 1000, 60, sim.hashed(20260101, n))
+    daily = sim.simulate(drawn, pooled, fit.select("app_id", "interval_idx", "med", "half"))
+    return daily.groupBy("path_id").agg(F.max("peak").alias("annual_max"), F.percentile("peak", 0.95).alias("p95"), F.avg("mean").alias("mean"), F.avg(F.col("peak") / F.col("sum_app_peaks")).alias("coincidence"))
+
+
+@query(f"""WITH {P3}, f AS (SELECT app_id, business_date, interval_idx, mips AS value FROM p3)
+SELECT app_id, business_date, interval_idx, round(value * CASE WHEN app_id = 'A' THEN 1.3 ELSE 1 END * CASE WHEN app_id = 'N' AND business_date >= DATE '1999-01-01' THEN .5 ELSE 1 END, 6) AS value FROM f""")
+def scn_scenario(spark, sf_dir):
+    f = panels.thirds(spark, sf_dir).select("app_id", "business_date", "interval_idx", F.col("mips").alias("value"))
+    return mod.scenario(f, {"A": 1.3}, {"N": ("1999-01-01", 0.5)}, ["A", "N", "R"])
+
+
+def queries() -> dict[str, Query]:
+    return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_SQL)
