@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -40,7 +41,11 @@ def cut(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         shared = df.sparkSession.conf.get("spark.checkpoint.dir", None)
         context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="checkpoint-"))
-    return df.checkpoint(eager=True)
+    out = df.checkpoint(eager=True)
+    # Shuffle files of what was cut stay on disk until the driver finds that nothing refers to them.
+    gc.collect()
+    context._jvm.System.gc()
+    return out
 
 
 def computed_once(df: DataFrame) -> DataFrame:

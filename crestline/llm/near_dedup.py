@@ -8,7 +8,7 @@ leading-zero count and 10 bits of mantissa (mixed with the round). Bands of six
 sets of similarity 0.8 together but for a chance of 2e-6.
 
 Copies with equal sets are folded first. Within a band, each set is held against one member only, the
-one that meets most others in all bands (a star), then against a second one, never against all others;
+one that meets most others in all bands (a star), never against all others;
 members of bands that still hold several components after that are joined by the rarest shingles of
 their sets, which finds every pair that can be similar and few others. A pair passes a
 collision-corrected estimate from the registers first, with a margin of six standard
@@ -42,7 +42,7 @@ COLLISION = 2.0**-10 / 3
 MARGIN = 6 * (0.8 * 0.2 / BUCKETS) ** 0.5
 _WORDS_KEPT = 400_000
 #: Rounds in which the members of a band are held against one of them.
-STARS = 2
+STARS = 1
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -186,7 +186,7 @@ def _by_prefix(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, component): the least node reachable from each node of the edges (a, b)."""
-    edges = cut(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct())
+    edges = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v")
     state = None
     while True:
         # Large star: neighbours above a node go to the least of its neighbourhood.
