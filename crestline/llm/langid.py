@@ -23,6 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import regex
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -52,20 +53,32 @@ class Model:
         grams = sorted(set().union(*counts.values())) if counts else []
         letters = len({c for g in grams for c in g}) or 1
         size = len(grams) + 1
-        self.table = {
-            g: np.array([np.log((counts[k][g] + 0.5) / (sum(counts[k].values()) + 0.5 * size)) for k in self.languages] + [-3 * np.log(letters)])
-            for g in grams
-        }
-        self.unseen = np.array([np.log(0.5 / (sum(counts[k].values()) + 0.5 * size)) for k in self.languages] + [-3 * np.log(letters)])
-
-    def word(self, word: str) -> tuple[np.ndarray, int]:
-        total, n = np.zeros(len(self.languages) + 1), 0
+        least = [0.5 / (sum(counts[k].values()) + 0.5 * size) for k in self.languages]
+        share = [[(counts[k][g] + 0.5) / (sum(counts[k].values()) + 0.5 * size) for k in self.languages] for g in grams]
+        #: One row of log-likelihoods a trigram, the first for trigrams not seen; the last column counts.
+        self.rows = np.ones((len(grams) + 1, len(self.languages) + 2))
+        self.rows[:, :-2] = np.log(np.array([least, *share]).reshape(len(grams) + 1, -1))
+        self.rows[:, -2] = -3 * np.log(letters)
+        self.place = {g: i + 1 for i, g in enumerate(grams)}
+
+    def places(self, word: str) -> list[int]:
+        """Rows of the trigrams of a word's parts."""
+        place, out = self.place.get, []
         for part in _LETTERS.findall(word.lower()):
             w = f" {part} "
-            for i in range(len(w) - 2):
-                total += self.table.get(w[i : i + 3], self.unseen)
-                n += 1
-        return total, n
+            out += [place(w[i : i + 3], 0) for i in range(len(part))]
+        return out
+
+    def scores(self, words: list[str]) -> np.ndarray:
+        """Log-likelihoods and the number of trigrams of each word."""
+        parts = [self.places(w) for w in words]
+        sizes = np.array([len(p) for p in parts])
+        out = np.zeros((len(words), self.rows.shape[1]))
+        flat = self.rows[[x for p in parts for x in p]]
+        if len(flat):
+            starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+            out[sizes > 0] = np.add.reduceat(flat, starts[sizes > 0], axis=0)
+        return out
 
 
 class Scorer:
@@ -76,24 +89,21 @@ class Scorer:
         self.places: dict[str, int] = {}
         self.rows = np.zeros((1024, len(model.languages) + 2))
 
-    def place(self, word: str) -> int:
-        n = len(self.places)
-        if n == len(self.rows):
-            self.rows = np.vstack([self.rows, np.zeros_like(self.rows)])
-        score, grams = self.model.word(word)
-        self.rows[n, :-1], self.rows[n, -1] = score, grams
-        self.places[word] = n
-        return n
-
     def __call__(self, text: str | None) -> list[float]:
         words = (text or "").split()
         total = np.zeros(self.rows.shape[1])
         for i in range(0, len(words), 8192):
             if len(self.places) > _WORDS_KEPT:
                 self.places.clear()
-            known = self.places.get
-            ids = [k if (k := known(w)) is not None else self.place(w) for w in words[i : i + 8192]]
-            total += self.rows[ids].sum(axis=0)
+            part, places = words[i : i + 8192], self.places
+            new = list(dict.fromkeys(w for w in part if w not in places))
+            if new:
+                n = len(places)
+                while n + len(new) > len(self.rows):
+                    self.rows = np.vstack([self.rows, np.zeros_like(self.rows)])
+                self.rows[n : n + len(new)] = self.model.scores(new)
+                places.update(zip(new, range(n, n + len(new))))
+            total += self.rows[[places[w] for w in part]].sum(axis=0)
         grams = total[-1]
         if not grams:
             return [0.0] * (self.rows.shape[1] - 1)
@@ -122,8 +132,11 @@ def _posterior(logs: Column, more: list[Column]) -> Column:
     return F.transform(F.array(top), lambda t: F.transform(t, lambda x: x / F.aggregate(t, F.lit(0.0), lambda a, b: a + b)))[0]
 
 
-def identify(docs: DataFrame, text_weight: float = TEXT_WEIGHT, sure: float = SURE, per_language: int = PER_LANGUAGE) -> DataFrame:
-    """`docs` (text, declared, suffix, host, domain and more) with _id: struct(language, confidence, kept)."""
+def identify(docs: DataFrame, text_weight: float = TEXT_WEIGHT, sure: float = SURE, per_language: int = PER_LANGUAGE, light: bool = False) -> DataFrame:
+    """`docs` (text, declared, suffix, host, domain and more) with _id: struct(language, confidence, kept).
+
+    With `light`, the text is left out of the result, and texts are scored once and kept, not twice.
+    """
     model = fit(docs, per_language)
     names = [*model.languages, "und"]
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -142,8 +155,11 @@ def identify(docs: DataFrame, text_weight: float = TEXT_WEIGHT, sure: float = SU
 
     of_suffix = F.coalesce(*[F.when(F.col("suffix") == k, v) for k, v in SUFFIXES.items()])
     evidence = [said(F.col("declared"), DECLARED), said(of_suffix, SUFFIX)]
-    first = docs.select(key_of("host").alias("_h"), key_of("domain").alias("_d"), scored("text").alias("_l"), "declared", "suffix")
-    first = first.select("_h", "_d", _posterior(F.col("_l"), evidence).alias("p"))
+    held = [c for c in docs.columns if c != "text" or not light]
+    rows = docs.select(*held, key_of("host").alias("_h"), key_of("domain").alias("_d"), scored("text").alias("_l"))
+    if light:
+        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    first = rows.select("_h", "_d", _posterior(F.col("_l"), evidence).alias("p"))
     sums = [F.sum(F.get("p", F.lit(i))).alias(f"n{i}") for i in range(len(names))]
     counts = first.groupBy("_h", "_d").agg(*sums).persist()
     everything = counts.agg(*[F.sum(f"n{i}").alias(f"n{i}") for i in range(len(names))]).first()
@@ -157,15 +173,14 @@ def identify(docs: DataFrame, text_weight: float = TEXT_WEIGHT, sure: float = SU
     n_hosts = counts.count()
     if n_hosts <= 10_000:
         hosts = F.broadcast(hosts)
-    rows = docs.select("*", key_of("host").alias("_h"), key_of("domain").alias("_d"), scored("text").alias("_l"))
-    rows = rows.join(hosts, ["_h", "_d"]).select(*docs.columns, "_l", _posterior(F.col("_l"), [*evidence, F.col("_prior")]).alias("_p"))
+    rows = rows.join(hosts, ["_h", "_d"]).select(*held, "_l", _posterior(F.col("_l"), [*evidence, F.col("_prior")]).alias("_p"))
     rows = computed_once(rows)
     place = F.array_position("_p", F.array_max("_p")).cast("int")
     silent = F.aggregate("_l", F.lit(0.0), lambda a, b: a + F.abs(b)) == 0
     language = F.when(silent, "und").otherwise(F.element_at(F.lit(names), place))
     confidence = F.when(silent, 0.0).otherwise(F.array_max("_p"))
     kept = (language != "und") & (confidence >= sure)
-    return rows.select(*docs.columns, F.struct(language.alias("language"), F.round(confidence, 9).alias("confidence"), kept.alias("kept")).alias("_id"))
+    return rows.select(*held, F.struct(language.alias("language"), F.round(confidence, 9).alias("confidence"), kept.alias("kept")).alias("_id"))
 
 
 def from_documents(docs: DataFrame, carried: list[str]) -> DataFrame:
@@ -190,7 +205,7 @@ def from_pages(pages: DataFrame, carried: list[str]) -> DataFrame:
 
 def scan(evidence: DataFrame) -> DataFrame:
     """The carried columns with language, confidence and kept."""
-    return identify(evidence).select("_row.*", "_id.*")
+    return identify(evidence, light=True).select("_row.*", "_id.*")
 
 
 def keep(docs: DataFrame) -> DataFrame:
