@@ -44,16 +44,28 @@ def index_vectors(buckets: int = BUCKETS, dim: int = DIM) -> np.ndarray:
     return out
 
 
+class _Kinds(dict):
+    """Characters to their kinds: A capital, a other letter, 0 digit, others themselves."""
+
+    def __missing__(self, code: int) -> str:
+        c = chr(code)
+        self[code] = kind = "A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c
+        return kind
+
+
+_KINDS, _TWICE = _Kinds(), re.compile(r"(.)\1+")
+
+
 class Words(dict):
     """Bucket of each word (upper rows) and of its shape (the first _SHAPES rows), remembered in bounded memory."""
 
     def __missing__(self, word: str) -> int:
         if len(self) > _WORDS_KEPT:
             self.clear()
-        shape = re.sub(r"([^\W\d_])\1*", r"\1", re.sub(r"\d", "0", "".join("A" if c.isupper() else "a" if c.isalpha() else c for c in word[:64])))
+        shape = _TWICE.sub(r"\1", word.translate(_KINDS))
         raw = word.encode("utf-8", "surrogatepass")
         bucket = _SHAPES + zlib.crc32(raw) % (BUCKETS - _SHAPES)
-        self[word] = value = bucket * _SHAPES + zlib.crc32(re.sub(r"(.)\1+", r"\1", shape).encode("utf-8", "surrogatepass")) % _SHAPES
+        self[word] = value = bucket * _SHAPES + zlib.crc32(shape.encode("utf-8", "surrogatepass")) % _SHAPES
         return value
 
 
