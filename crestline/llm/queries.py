@@ -96,8 +96,8 @@ _RULES_SQL_GRID = ", ".join(f"('{m}', {c!r})" for m, cs in quality_rules.GRID.it
 _RULES_SQL = rf"""
 WITH d AS (SELECT doc_id, lang, coalesce(text, '') AS t FROM documents),
 w AS (
-  SELECT doc_id, lang, t, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), x -> x <> '') AS w,
-    list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
+  SELECT doc_id, lang, t, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
+    list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
   FROM d
 ), win AS (
   SELECT doc_id, i, w[i] || chr(10) || w[i + 1] || chr(10) || w[i + 2] AS x
@@ -105,7 +105,7 @@ w AS (
 ), twice AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, x) AS c FROM win) WHERE c > 1),
 rep AS (SELECT doc_id, count(DISTINCT i + k) AS r FROM twice, (VALUES (0), (1), (2)) v(k) GROUP BY doc_id),
 m AS (
-  SELECT w.doc_id, lang, len(w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w, x -> length(x))), 0)::BIGINT AS word_chars,
+  SELECT w.doc_id, lang, len(w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
     (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
     (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, coalesce(r, 0)::BIGINT AS n_repeat_words,
     (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g')))::BIGINT AS n_upper, len(l)::BIGINT AS n_lines
@@ -123,7 +123,7 @@ tried AS (
     count(*) FILTER (quality = 0 AND value > cutoff) AS caught
   FROM held h JOIN (VALUES {_RULES_SQL_GRID}) g(measure, cutoff) ON h.measure = g.measure GROUP BY ALL
 ), tested AS (
-  SELECT *, CASE WHEN lost > good * 0.005 THEN 1.0 ELSE list_sum(list_transform(range(0, lost + 1), i ->
+  SELECT *, CASE WHEN lost > good * 0.005 THEN 1.0 ELSE list_sum(list_transform(range(0, lost + 1), lambda i:
     exp(lgamma(good + 1) - lgamma(i + 1) - lgamma(good - i + 1) + i * ln(0.005) + (good - i) * ln(0.995)))) END AS tail,
     (SELECT count(DISTINCT lang) FROM held) AS strata
   FROM tried WHERE good > 0
@@ -138,14 +138,14 @@ FROM b
 
 _NEAR_SQL = r"""
 WITH RECURSIVE w AS (
-  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), x -> x <> '') AS w
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
   FROM documents
 ), s AS (
   SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) = 1 THEN [w[1]]
-    ELSE list_transform(range(1, len(w)), i -> w[i] || chr(10) || w[i + 1]) END) AS x FROM w
+    ELSE list_transform(range(1, len(w)), lambda i: w[i] || chr(10) || w[i + 1]) END) AS x FROM w
 ), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
-p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both FROM s a JOIN s b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY 1, 2),
-e AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * both >= 80 * (x.n + y.n - both)),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM s a JOIN s b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY 1, 2),
+e AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * shared >= 80 * (x.n + y.n - shared)),
 u AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
 r(doc_id, c) AS (SELECT doc_id, doc_id FROM documents UNION SELECT u.b, r.c FROM r JOIN u ON u.a = r.doc_id WHERE r.c < u.b),
 c AS (SELECT doc_id, min(c) AS c FROM r GROUP BY doc_id)
