@@ -3,17 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crestline.functions import calendar as cal
+from crestline.operators import dependence as dep
 from crestline.operators import diagnostics as dia
+from crestline.operators import evaluation as eva
 from crestline.operators import ingest as ing
 from crestline.operators import model as mod
+from crestline.operators import quantile as qua
+from crestline.operators import serving as srv
 from crestline.operators import simulation as sim
-from crestline.sources import panels
+from crestline.sources import lake, panels
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -328,6 +332,226 @@ def scn_scenario(spark, sf_dir):
     return mod.scenario(f, {"A": 1.3}, {"N": ("1999-01-01", 0.5)}, ["A", "N", "R"])
 
 
+_WIDE = f"""{P3}, fit AS (SELECT app_id, interval_idx, quantile_cont(mips, [.1, .5, .9]) AS q FROM p3 WHERE year(business_date) < 2000 GROUP BY ALL),
+wide AS (SELECT app_id, business_date, interval_idx, mips AS y, q FROM p3 JOIN fit USING (app_id, interval_idx) WHERE year(business_date) >= 2000),
+pits AS (SELECT app_id, business_date, interval_idx, y, q, CASE WHEN y < q[1] THEN 0 WHEN y < q[2] THEN .1 + .4 * (y - q[1]) / (q[2] - q[1]) WHEN y < q[3] THEN .5 + .4 * (y - q[2]) / (q[3] - q[2]) WHEN y = q[3] THEN .9 ELSE 1 END::DOUBLE AS pit FROM wide)"""
+
+
+def _wide(spark, sf_dir) -> DataFrame:
+    rows = panels.thirds(spark, sf_dir)
+    fit = rows.where(F.year("business_date") < 2000).groupBy("app_id", "interval_idx").agg(F.percentile("mips", F.array(*map(F.lit, TAUS))).alias("q"))
+    rows = rows.where(F.year("business_date") >= 2000).join(fit, ["app_id", "interval_idx"]).withColumn("pit", eva.pit(F.col("mips"), F.col("q"), TAUS))
+    return rows.select("app_id", "business_date", "interval_idx", F.col("mips").alias("y"), "q", "pit")
+
+
+@query(f"WITH {_WIDE} SELECT app_id, business_date, interval_idx, round(pit, 6) AS pit FROM pits")
+def eva_pit(spark, sf_dir):
+    return _wide(spark, sf_dir).drop("y", "q")
+
+
+@query(f"""WITH {_WIDE}, r AS (SELECT pit, row_number() OVER (ORDER BY pit) AS i, count(*) OVER () AS n FROM pits)
+SELECT round(max(greatest(i / n - pit, pit - (i - 1) / n)), 6) AS ks_stat, count(*) AS n, round(avg(pit), 6) AS pit_mean, round(var_pop(pit), 6) AS pit_var, CASE WHEN var_pop(pit) > 1 / 12 THEN 'under' ELSE 'over' END AS dispersion FROM r""")
+def eva_pit_uniformity(spark, sf_dir):
+    return eva.pit_uniformity(_wide(spark, sf_dir))
+
+
+@query(f"WITH {_WIDE} SELECT app_id, count(*) AS n, round(avg((q[3] - q[1]) + 10 * greatest(q[1] - y, y - q[3], 0)), 6) AS interval_score FROM wide GROUP BY app_id")
+def eva_interval_score(spark, sf_dir):
+    q = F.col("q")
+    return _wide(spark, sf_dir).groupBy("app_id").agg(F.count("*").alias("n"), F.avg(eva.interval_score(F.col("y"), q[0], q[2], 0.8)).alias("interval_score"))
+
+
+_ROLLING = f"""{P3}, d AS (SELECT business_date, row_number() OVER (ORDER BY business_date) - 1 AS pos, count(*) OVER () AS n FROM (SELECT DISTINCT business_date FROM p3)),
+f AS (SELECT row_number() OVER (ORDER BY o.pos) - 1 AS fold, o.business_date AS origin, e.business_date AS until FROM d o JOIN d e ON e.pos = o.pos + 60 WHERE o.pos IN (o.n - 61, o.n - 121, o.n - 181) AND o.pos >= 250),
+tr AS (SELECT fold, app_id, interval_idx, business_date, isodow(business_date) AS dow, mips, lag(mips) OVER (PARTITION BY fold, app_id, interval_idx, isodow(business_date) ORDER BY business_date) AS prev FROM p3 JOIN f ON business_date <= origin),
+ld AS (SELECT fold, business_date FROM (SELECT DISTINCT fold, business_date FROM tr) QUALIFY row_number() OVER (PARTITION BY fold ORDER BY business_date DESC) <= 250),
+nr AS (SELECT tr.* FROM tr JOIN ld USING (fold, business_date)),
+m AS (SELECT fold, app_id, interval_idx, dow, 'interval_climatology' AS model, quantile_cont(mips, [.1, .5, .9]) AS q FROM nr GROUP BY ALL UNION ALL
+  SELECT b.fold, b.app_id, b.interval_idx, b.dow, 'seasonal_naive', list_transform(coalesce(r.r, [1, 1, 1]), lambda v: v * b.base) FROM (SELECT fold, app_id, interval_idx, dow, arg_max(mips, business_date) AS base FROM tr GROUP BY ALL) b
+  JOIN (SELECT fold, app_id, interval_idx, quantile_cont(mips / prev, [.1, .5, .9]) FILTER (prev > 0) AS r FROM nr GROUP BY ALL) r USING (fold, app_id, interval_idx)),
+te AS (SELECT fold, model, mips AS y, q FROM p3 JOIN f ON business_date > origin AND business_date <= until JOIN m USING (fold, app_id, interval_idx) WHERE m.dow = isodow(business_date)),
+sc AS (SELECT CAST(fold AS INT) AS fold, model, count(*) AS n, avg((greatest(.1 * (y - q[1]), -.9 * (y - q[1])) + greatest(.5 * (y - q[2]), -.5 * (y - q[2])) + greatest(.9 * (y - q[3]), -.1 * (y - q[3]))) / 3) AS pinball_mean,
+  avg((q[3] - q[1]) + 10 * greatest(q[1] - y, y - q[3], 0)) AS interval_score FROM te GROUP BY ALL)"""
+
+
+def _rolling(spark, sf_dir) -> DataFrame:
+    rows = panels.thirds(spark, sf_dir)
+    return eva.rolling_origin(rows, eva.folds(rows, 3, 60, 60, 250), TAUS)
+
+
+@query(f"WITH {_ROLLING} SELECT fold, model, n, round(pinball_mean, 6) AS pinball_mean, round(interval_score, 6) AS interval_score FROM sc")
+def eva_rolling_origin(spark, sf_dir):
+    return _rolling(spark, sf_dir)
+
+
+@query(f"""WITH {_ROLLING} SELECT model, n_folds, round(p, 6) AS pinball_mean, round(s, 6) AS interval_score, CAST(row_number() OVER (ORDER BY p, model) AS INT) AS place
+FROM (SELECT model, count(*) AS n_folds, avg(pinball_mean) AS p, avg(interval_score) AS s FROM sc GROUP BY model)""")
+def eva_leaderboard(spark, sf_dir):
+    return eva.leaderboard(_rolling(spark, sf_dir))
+
+
+#: Realised peaks, submissions of earlier peaks, and the mean of the year as a model.
+_VERSUS = f"""{P2}, re AS (SELECT app_id, fiscal_year, max(mips) AS realised_peak_mips, avg(mips) * 2 AS model_peak_mips FROM p2 GROUP BY ALL),
+su AS (SELECT app_id, fiscal_year + 1 AS fiscal_year, max(mips) * (.8 + .1 * (ascii(app_id) % 5)) AS submitted_peak_mips FROM p2 GROUP BY app_id, fiscal_year),
+cmp AS (SELECT app_id, fiscal_year, realised_peak_mips, submitted_peak_mips, model_peak_mips, submitted_peak_mips - realised_peak_mips AS submission_error, 100 * abs(submitted_peak_mips - realised_peak_mips) / realised_peak_mips AS submission_abs_pct,
+  model_peak_mips - realised_peak_mips AS model_error, 100 * abs(model_peak_mips - realised_peak_mips) / realised_peak_mips AS model_abs_pct FROM re JOIN su USING (app_id, fiscal_year)),
+vs AS (SELECT *, model_abs_pct < submission_abs_pct AS model_better FROM cmp)"""
+
+
+def _versus(spark, sf_dir) -> DataFrame:
+    p2 = panels.daily(spark, sf_dir)
+    real = p2.groupBy("app_id", "fiscal_year").agg(F.max("mips").alias("realised_peak_mips"), (F.avg("mips") * 2).alias("model_peak_mips"))
+    return eva.compare_to_submissions(real.drop("realised_peak_mips"), _submissions(p2), real.drop("model_peak_mips"))
+
+
+@query(f"WITH {_VERSUS} SELECT app_id, fiscal_year, {_r('realised_peak_mips', 'submitted_peak_mips', 'model_peak_mips', 'submission_error', 'submission_abs_pct', 'model_error', 'model_abs_pct')}, model_better FROM vs")
+def eva_submissions(spark, sf_dir):
+    return _versus(spark, sf_dir)
+
+
+@query(f"""WITH {_VERSUS}, t AS (SELECT model_better FROM vs ORDER BY realised_peak_mips DESC, app_id, fiscal_year LIMIT (SELECT greatest(1, count(*) // 5) FROM vs))
+SELECT count(*) AS n_comparisons, round(avg(model_better::INT), 6) AS model_better_share, (SELECT round(avg(model_better::INT), 6) FROM t) AS model_better_share_top,
+  """ + ", ".join(f"round(avg({s}_abs_pct), 6) AS {s}_mape, round(sum(realised_peak_mips * {s}_abs_pct) / sum(realised_peak_mips), 6) AS {s}_mape_weighted, round(100 * avg({s}_error / realised_peak_mips), 6) AS {s}_bias_pct" for s in ("submission", "model")) + " FROM vs")
+def eva_submission_summary(spark, sf_dir):
+    return eva.summarise(_versus(spark, sf_dir))
+
+
+@query(f"""WITH {_VERSUS}, b AS (SELECT app_id, avg(submitted_peak_mips / realised_peak_mips) AS ratio, count(*) AS n_cycles FROM vs GROUP BY app_id),
+o AS (SELECT su.app_id, fiscal_year, submitted_peak_mips, n_cycles, CASE WHEN coalesce(n_cycles, 0) < 2 THEN 1 ELSE coalesce(ratio, 1) END AS bias_ratio FROM su LEFT JOIN b USING (app_id))
+SELECT app_id, fiscal_year, n_cycles, {_r('submitted_peak_mips', 'bias_ratio')}, round(submitted_peak_mips / bias_ratio, 6) AS debiased_peak_mips FROM o""")
+def eva_debiased(spark, sf_dir):
+    bias = _versus(spark, sf_dir).groupBy("app_id").agg(F.avg(F.col("submitted_peak_mips") / F.col("realised_peak_mips")).alias("bias_ratio"), F.count("*").alias("n_cycles"))
+    return eva.debiased_submissions(_submissions(panels.daily(spark, sf_dir)), bias)
+
+
+@query(f"""WITH {_LABELLED}, t AS (SELECT lpar, business_date, max(v) AS peak FROM (SELECT lpar, business_date, interval_idx, sum(mips) AS v FROM p1 GROUP BY ALL) GROUP BY ALL),
+x AS (SELECT DISTINCT business_date FROM lab WHERE event_label IS NOT NULL)
+SELECT lpar, round(max(peak), 6) AS all_days, round(max(peak) FILTER (x.business_date IS NULL), 6) AS clean_days, count(x.business_date) AS n_excluded FROM t LEFT JOIN x USING (business_date) GROUP BY lpar""")
+def eva_realised(spark, sf_dir):
+    return eva.realised(panels.hourly(spark, sf_dir), _labelled(spark, sf_dir).where("event_label is not null"))
+
+
+@query(f"""WITH {_RES} SELECT round(avg(r), 6) AS mean, round(stddev_pop(r), 6) AS sd, round(quantile_cont(r, .01), 6) AS p01, round(quantile_cont(r, .99), 6) AS p99, count(r) AS n_cells,
+  count(DISTINCT business_date) AS n_days, count(DISTINCT app_id) AS n_apps FROM res""")
+def dep_summary(spark, sf_dir):
+    return dep.summary(_residuals(spark, sf_dir)[0])
+
+
+_ACF = "acf AS (SELECT y.interval_idx - x.interval_idx AS lag, corr(x.r, y.r) AS corr, count(*) AS n FROM res x JOIN res y USING (app_id, business_date) WHERE y.interval_idx > x.interval_idx GROUP BY ALL)"
+
+
+@query(f"WITH {_RES}, {_ACF} SELECT CAST(lag AS INT) AS lag, round(corr, 6) AS corr, n FROM acf")
+def dep_autocorrelation(spark, sf_dir):
+    return dep.autocorrelation(_residuals(spark, sf_dir)[0])
+
+
+@query(f"""WITH {_RES}, {_ACF}, c AS (SELECT corr(x.r, y.r) AS corr FROM res x JOIN res y USING (business_date, interval_idx) WHERE x.app_id < y.app_id GROUP BY x.app_id, y.app_id)
+SELECT round(avg(corr), 6) AS mean_corr, round(max(corr), 6) AS max_corr, round(quantile_cont(corr, .95), 6) AS p95_corr, (SELECT round(max(corr) FILTER (lag = 1), 6) FROM acf) AS acf1, (SELECT round(max(corr) FILTER (lag = 4), 6) FROM acf) AS acf4 FROM c""")
+def dep_report(spark, sf_dir):
+    res = _residuals(spark, sf_dir)[0]
+    return dep.report(sim.correlation(res), dep.autocorrelation(res))
+
+
+@query(f"""WITH {_RES}, g AS (SELECT res.* FROM res JOIN good USING (business_date)),
+u AS (SELECT app_id, business_date, interval_idx, (rank() OVER (PARTITION BY app_id ORDER BY r) + (count(*) OVER (PARTITION BY app_id, r) - 1) / 2 - .5) / count(*) OVER (PARTITION BY app_id) > .9 AS o FROM g)
+SELECT x.app_id AS a, y.app_id AS b, count(*) FILTER (x.o) AS n_over, round(count(*) FILTER (x.o AND y.o) / nullif(count(*) FILTER (x.o), 0), 6) AS observed FROM u x JOIN u y USING (business_date, interval_idx) WHERE x.app_id < y.app_id GROUP BY ALL""")
+def dep_tail(spark, sf_dir):
+    return dep.tail_dependence(sim.pool(_residuals(spark, sf_dir)[0]))
+
+
+@query(f"""WITH {P3}, s AS (SELECT business_date, max(s) AS num FROM (SELECT business_date, interval_idx, sum(mips) AS s FROM p3 GROUP BY ALL) GROUP BY 1), a AS (SELECT business_date, sum(m) AS den FROM (SELECT business_date, app_id, max(mips) AS m FROM p3 GROUP BY ALL) GROUP BY 1),
+f AS (SELECT num / den AS f FROM s JOIN a USING (business_date) WHERE den > 0)
+SELECT count(*) AS n, round(avg(f), 6) AS mean, round(coalesce(stddev_samp(f), 0), 6) AS sd, round(quantile_cont(f, .05), 6) AS p05, round(quantile_cont(f, .5), 6) AS p50, round(quantile_cont(f, .95), 6) AS p95 FROM f""")
+def dep_factor_summary(spark, sf_dir):
+    return dep.factor_summary(sim.factor(panels.thirds(spark, sf_dir)))
+
+
+@query()
+def dep_adequacy(spark, sf_dir):
+    """Bootstrap by hash draws; SQL has no such hash."""
+    return dep.adequacy(sim.factor(panels.thirds(spark, sf_dir)))
+
+
+@query()
+def sim_copula(spark, sf_dir):
+    """500 paths of 60 days from the copula; its draws are numpy's."""
+    res, fit = _residuals(spark, sf_dir)
+    copula = dep.fit_copula(sim.pool(res))
+    daily = dep.simulate_copula(spark, copula, fit.select("app_id", "interval_idx", "med", "half"), 500, 60)
+    return daily.groupBy("path_id").agg(F.max("peak").alias("annual_max"), F.percentile("peak", 0.95).alias("p95"), F.avg("mean").alias("mean"), F.avg(F.col("peak") / F.col("sum_app_peaks")).alias("coincidence"))
+
+
+def _stage1(spark, sf_dir):
+    """The model on the daily panel; all dates of one app and a day dimension with a horizon of 100 weekdays."""
+    dense = ing.densify(panels.daily(spark, sf_dir)).select("app_id", "business_date", "interval_idx", "mips").persist()
+    first, last = dense.agg(F.min("business_date"), F.max("business_date")).first()
+    grid = cal.Grid()
+    known = cal.days(spark, first, last, grid)
+    spec = qua.Spec(first, (last - first).days / 365.25, 0.5, 1)
+    model, rows, scales = qua.trained(dense, known, spec, TAUS)
+    return dense, last, spec, model, rows, scales
+
+
+@query()
+def mod_fitted(spark, sf_dir):
+    """In-sample quantiles of the fitted regression; an iterative fit."""
+    _, _, _, model, rows, scales = _stage1(spark, sf_dir)
+    return qua.fitted(rows, model, scales)
+
+
+@query()
+def mod_forecast(spark, sf_dir):
+    """Quantiles of the next 140 days by the recursion; one loop an app."""
+    dense, last, spec, model, _, scales = _stage1(spark, sf_dir)
+    future = cal.days(spark, last + timedelta(days=1), last + timedelta(days=140))
+    cube = qua.forecast(dense, future, scales, mod.growth(dense.where("mips is not null")), mod.feed_correction(dense), model, spec)
+    return qua.to_long(cube, TAUS)
+
+
+@query(r"""SELECT event_id, ts, trim(event_type) AS app_id, 'P' || (user_id % 2) AS lpar, 'PROD' AS environment, false AS is_anomaly, CAST(NULL AS VARCHAR) AS event_label, CAST(ts AS DATE) AS business_date,
+CAST(year(ts) + (month(ts) >= 11)::INT AS INT) AS fiscal_year, round(value, 6) AS value FROM events WHERE ts >= DATE '2024-01-05' AND ts < DATE '2024-01-13'""")
+def src_conform(spark, sf_dir):
+    rows = panels.table(spark, sf_dir, "events").select("event_id", F.col("ts").alias("TS"), F.concat(F.col("event_type"), F.lit(" ")).alias("KIND"), F.concat(F.lit("P"), F.col("user_id") % 2).alias("LPAR"), "value")
+    rows = lake.normalised(rows, "intervals", {"KIND": "app_id"})
+    return lake.conform(lake.clipped(rows, "intervals", date(2024, 1, 5), date(2024, 1, 12)), "intervals")
+
+
+def _paths(spark, sf_dir) -> DataFrame:
+    """Line items by flag as paths of daily figures."""
+    rows = panels.daily(spark, sf_dir)
+    return rows.groupBy(F.ascii("app_id").cast("long").alias("path_id"), "fiscal_year", "business_date").agg(F.sum("mips").alias("daily_peak"), F.avg("mips").alias("daily_mean"))
+
+
+_LEVELS = "(VALUES (.5::DOUBLE, 1), (.9::DOUBLE, 2), (.95::DOUBLE, 3), (.99::DOUBLE, 4)) t(level, i)"
+_PATHS = f"{P2}, paths AS (SELECT ascii(app_id)::BIGINT AS path_id, fiscal_year, business_date, sum(mips) AS daily_peak, avg(mips) AS daily_mean FROM p2 GROUP BY ALL)"
+_FIGS = f"""{_PATHS}, fg AS (SELECT path_id, fiscal_year, max(daily_peak) AS annual_max, quantile_cont(daily_peak, .95) AS p95_of_daily_peaks FROM paths GROUP BY ALL), figs AS (UNPIVOT fg ON annual_max, p95_of_daily_peaks INTO NAME reducer VALUE value)"""
+
+
+@query(f"WITH {_FIGS} SELECT fiscal_year, reducer, level, round(quantile_cont(value, [.5, .9, .95, .99])[i], 6) AS value, round(avg(value), 6) AS mean FROM figs, {_LEVELS} GROUP BY fiscal_year, reducer, level, i")
+def srv_fy_summary(spark, sf_dir):
+    return srv.fy_summary(srv.path_figures(_paths(spark, sf_dir), ["annual_max", "p95_of_daily_peaks"]))
+
+
+@query(f"WITH {_PATHS} SELECT business_date, level, round(quantile_cont(daily_peak, [.5, .9, .95, .99])[i], 6) AS value, round(avg(daily_peak), 6) AS mean FROM paths, {_LEVELS} GROUP BY business_date, level, i")
+def srv_daily_profile(spark, sf_dir):
+    return srv.daily_profile(_paths(spark, sf_dir))
+
+
+@query(f"WITH {P3}, m AS (SELECT fiscal_year::BIGINT AS path_id, app_id, max(mips) AS peak FROM p3 GROUP BY ALL) SELECT app_id, level, round(quantile_cont(peak, [.5, .9, .95, .99])[i], 6) AS value, round(avg(peak), 6) AS mean, true AS do_not_sum FROM m, {_LEVELS} GROUP BY app_id, level, i")
+def srv_app_peaks(spark, sf_dir):
+    return srv.app_peaks(panels.thirds(spark, sf_dir).groupBy(F.col("fiscal_year").cast("long").alias("path_id"), "app_id").agg(F.max("mips").alias("peak")))
+
+
+@query(f"""WITH {_FIGS}, a AS (SELECT fiscal_year, reducer, median(value) AS p50, quantile_cont(value, .95) AS p95 FROM figs GROUP BY ALL),
+w AS (SELECT NULL::INT AS fiscal_year, 'annual_max' AS reducer, median(v) AS p50, quantile_cont(v, .95) AS p95 FROM (SELECT max(daily_peak) AS v FROM paths GROUP BY path_id)),
+x AS (SELECT NULL::INT AS fiscal_year, 'p95_of_daily_peaks' AS reducer, median(v) AS p50, quantile_cont(v, .95) AS p95 FROM (SELECT quantile_cont(daily_peak, .95) AS v FROM paths GROUP BY path_id)),
+y AS (SELECT * FROM a UNION ALL SELECT * FROM w UNION ALL SELECT * FROM x)
+SELECT fiscal_year, reducer, round(p50, 6) AS base_p50, round(p95, 6) AS base_p95, round(p50 * 1.2, 6) AS other_p50, round(p95 * 1.2, 6) AS other_p95, round(100 * (p50 * 1.2 / p50 - 1), 6) AS delta_p50_pct, round(100 * (p95 * 1.2 / p95 - 1), 6) AS delta_p95_pct FROM y""")
+def scn_compare(spark, sf_dir):
+    base = srv.path_figures(_paths(spark, sf_dir), ["annual_max", "p95_of_daily_peaks"])
+    return srv.compare(base, base.withColumn("value", F.col("value") * 1.2))
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
