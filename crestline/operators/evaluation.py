@@ -17,7 +17,7 @@ def pit(y: Column, q: Column, taus: Sequence[float]) -> Column:
     below = F.size(F.filter(q, lambda x: x <= y))
     low, high = F.get(q, below - 1), F.get(q, below)
     inner = F.get(grid, below - 1) + (F.get(grid, below) - F.get(grid, below - 1)) * (y - low) / (high - low)
-    return F.when(below == 0, 0.0).when(below < n, inner).when(y == F.get(q, F.lit(n - 1)), float(taus[-1])).when(below == n, 1.0)
+    return F.when(y.isNull() | q.isNull(), F.lit(None)).when(below == 0, 0.0).when(below < n, inner).when(y == F.get(q, F.lit(n - 1)), float(taus[-1])).when(below == n, 1.0)
 
 
 def pit_uniformity(values: DataFrame) -> DataFrame:
