@@ -102,10 +102,16 @@ def planned(docs: DataFrame, carried: list[str], shards: int = SHARDS, seed: int
     fill: dict[str, list] = {s: [] for s in names}
     free = trial.where(~F.col("_in") & (F.col("_size") > 0))
     for _ in range(FILLS):
-        used = [(s, b, n) for s in names for b, n in fill[s]]
+        used: dict[tuple, list] = {}
+        for s in names:
+            for b, n in fill[s]:
+                used.setdefault((s, b), []).append(n)
         wanted = spark.createDataFrame([(s, gaps[s]) for s in names], "_s string, _gap double")
-        taken = spark.createDataFrame(used, "_s string, _b long, _n int")
-        fit = free.join(taken, ["_s", "_b", "_n"], "left_anti").join(wanted, "_s").where(F.abs(F.col("_size") - F.col("_gap")) < F.col("_gap"))
+        taken = spark.createDataFrame([(s, b, ns) for (s, b), ns in used.items()], "_s string, _b long, _used array<int>")
+        # Candidates stay where their blocks are: no task holds a source's.
+        asked = small.select("_s", "_b").join(wanted, "_s").join(taken, ["_s", "_b"], "left")
+        unused = ~F.coalesce(F.array_contains("_used", F.col("_n")), F.lit(False))
+        fit = free.join(asked, ["_s", "_b"]).where(unused & (F.abs(F.col("_size") - F.col("_gap")) < F.col("_gap")))
         off = F.struct(F.abs(F.col("_size") - F.col("_gap")).alias("off"), "_b", "_n", "_size")
         for r in fit.groupBy("_s").agg(F.min(off).alias("f")).collect():
             fill[r["_s"]].append((r["f"]["_b"], r["f"]["_n"]))
