@@ -9,15 +9,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crestline.functions import calendar as cal
+from crestline.operators import backtest as bat
 from crestline.operators import dependence as dep
 from crestline.operators import diagnostics as dia
 from crestline.operators import evaluation as eva
+from crestline.operators import horizon as hor
 from crestline.operators import ingest as ing
 from crestline.operators import model as mod
 from crestline.operators import quantile as qua
 from crestline.operators import serving as srv
 from crestline.operators import simulation as sim
-from crestline.sources import lake, panels
+from crestline.sources import lake, panels, synthetic
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -552,6 +554,96 @@ def scn_compare(spark, sf_dir):
     return srv.compare(base, base.withColumn("value", F.col("value") * 1.2))
 
 
+_HOR = f"""{_RES}, n AS (SELECT count(*) AS n FROM good), dr AS (SELECT p AS path_id, CAST(d AS INT) AS day_idx, (p * 1103515245 + d * 12345 + 20260101) % n AS pool_idx FROM range(40) a(p), range(30) b(d), n),
+hx AS (SELECT path_id, day_idx, app_id, interval_idx, greatest(0, med * (1 + .01 * day_idx) + r * half) AS x FROM dr JOIN good USING (pool_idx) JOIN res USING (business_date)),
+hs AS (SELECT path_id, day_idx, interval_idx, sum(x) AS s FROM hx GROUP BY ALL),
+hw AS (SELECT *, avg(s) OVER o AS a, count(*) OVER o AS c FROM hs WINDOW o AS (PARTITION BY path_id ORDER BY day_idx, interval_idx ROWS 3 PRECEDING)),
+hd AS (SELECT path_id, day_idx, max(s) AS peak, avg(s) AS mean, coalesce(max(a) FILTER (c = 4), 0) AS r4ha FROM hw GROUP BY ALL),
+ha AS (SELECT path_id, day_idx, app_id, max(x) AS m FROM hx GROUP BY ALL), hp AS (SELECT path_id, day_idx, sum(m) AS sum_app_peaks FROM ha GROUP BY ALL),
+hr AS (SELECT path_id, day_idx, sum(r) AS sum_app_r4ha FROM (SELECT path_id, day_idx, app_id, coalesce(max(a) FILTER (c = 4), 0) AS r FROM (SELECT *, avg(x) OVER o AS a, count(*) OVER o AS c FROM hx
+  WINDOW o AS (PARTITION BY path_id, app_id ORDER BY day_idx, interval_idx ROWS 3 PRECEDING)) GROUP BY ALL) GROUP BY ALL),
+h AS (SELECT * FROM hd JOIN hp USING (path_id, day_idx) JOIN hr USING (path_id, day_idx))"""
+
+
+def _horizon(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Draws of 40 paths of 30 days, the cells they need, and the paths' days: a forecast that grows 1 % of the first day a day."""
+    res, fit = _residuals(spark, sf_dir)
+    pooled = sim.pool(res)
+    n = (pooled.agg(F.max("pool_idx")).first()[0] or 0) + 1
+    drawn = sim.draws(spark, 40, 30, (F.col("path_id") * 1103515245 + F.col("day_idx") * 12345 + 20260101) % F.lit(n))
+    days = F.explode(F.sequence(F.lit(0), F.lit(29))).alias("day_idx")
+    forecast = fit.select("app_id", "interval_idx", "med", "half", days).withColumn("med", F.col("med") * (1 + F.lit(0.01) * F.col("day_idx")))
+    cells = hor.cells(drawn, pooled, forecast)
+    return drawn, cells, hor.daily(drawn, hor.totals(cells, 3))
+
+
+def _horizon_rolled(spark, sf_dir) -> DataFrame:
+    drawn, cells, daily = _horizon(spark, sf_dir)
+    return hor.rolling(daily, ["path_id"], "total", 4, 3).join(hor.sum_app_r4ha(drawn, cells, 4, 3), ["path_id", "day_idx"]).drop("total")
+
+
+@query(f"WITH {_HOR} SELECT path_id, day_idx, {_r('peak', 'mean', 'r4ha', 'sum_app_peaks', 'sum_app_r4ha')} FROM h")
+def sim_horizon(spark, sf_dir):
+    return _horizon_rolled(spark, sf_dir)
+
+
+@query(f"WITH {_HOR} SELECT path_id, app_id, round(max(m), 6) AS peak FROM ha GROUP BY ALL")
+def sim_app_peaks(spark, sf_dir):
+    drawn, cells, _ = _horizon(spark, sf_dir)
+    return hor.app_peaks(drawn, cells)
+
+
+@query(f"""WITH {_HOR}, e AS (SELECT avg(peak / sum_app_peaks) AS daily_mean, quantile_cont(peak / sum_app_peaks, .05) AS daily_p05, quantile_cont(peak / sum_app_peaks, .95) AS daily_p95 FROM h),
+w AS (SELECT avg(most / apps) AS horizon_mean, avg(most) AS mean_peak_of_sum, avg(apps) AS mean_sum_of_app_peaks FROM (SELECT path_id, max(peak) AS most FROM h GROUP BY 1)
+  JOIN (SELECT path_id, sum(m) AS apps FROM (SELECT path_id, app_id, max(m) AS m FROM ha GROUP BY ALL) GROUP BY 1) USING (path_id))
+SELECT {_r('daily_mean', 'daily_p05', 'daily_p95', 'horizon_mean', 'mean_peak_of_sum', 'mean_sum_of_app_peaks')} FROM e, w""")
+def sim_coincidence(spark, sf_dir):
+    drawn, cells, daily = _horizon(spark, sf_dir)
+    return hor.coincidence(daily, hor.app_peaks(drawn, cells))
+
+
+@query(f"""WITH {_HOR} SELECT round(avg(peak / sum_app_peaks), 6) AS interval_peak, round(avg(r4ha / greatest(sum_app_r4ha, 1e-9)), 6) AS r4ha, round(avg(r4ha / peak), 6) AS r4ha_to_peak,
+  round(avg(r4ha / greatest(sum_app_r4ha, 1e-9)) - avg(peak / sum_app_peaks), 6) AS gain FROM h""")
+def sim_coincidence_by_target(spark, sf_dir):
+    return hor.coincidence_by_target(_horizon_rolled(spark, sf_dir))
+
+
+@query(f"WITH {_HOR} SELECT path_id, count(*) FILTER (s > c) AS intervals_above_p99 FROM hs JOIN (SELECT path_id, quantile_cont(s, .99) AS c FROM hs GROUP BY 1) USING (path_id) GROUP BY ALL")
+def red_above_p99(spark, sf_dir):
+    return hor.above_p99(_horizon(spark, sf_dir)[2], ["path_id"])
+
+
+@query(f"""WITH {_HOR}, d AS (SELECT *, DATE '2026-01-01' + day_idx AS business_date FROM h), x AS (SELECT *, max(r4ha) OVER m AS mr, row_number() OVER (PARTITION BY path_id, year(business_date), month(business_date) ORDER BY business_date) = 1 AS mf
+  FROM d WINDOW m AS (PARTITION BY path_id, year(business_date), month(business_date)))
+SELECT path_id, round(avg(mr) FILTER (mf), 6) AS monthly_peak_r4ha, round(max(r4ha), 6) AS annual_peak_r4ha, round(quantile_cont(r4ha, .95), 6) AS p95_of_daily_r4ha, round(avg(r4ha), 6) AS mean_of_daily_r4ha FROM x GROUP BY ALL""")
+def red_r4ha(spark, sf_dir):
+    day = F.date_add(F.lit("2026-01-01").cast("date"), F.col("day_idx"))
+    daily = _horizon_rolled(spark, sf_dir).select("path_id", day.alias("business_date"), F.col("peak").alias("daily_peak"), F.col("mean").alias("daily_mean"), F.col("r4ha").alias("daily_r4ha"))
+    return mod.reduced(daily, ["path_id"], mod.FAMILIES["software_cost"])
+
+
+@query()
+def sim_with_factor(spark, sf_dir):
+    """Daily figures scaled by drawn coincidence factors; SQL has no such hash."""
+    rows = panels.thirds(spark, sf_dir)
+    days = rows.groupBy("business_date").agg(F.sum("mips").alias("peak")).withColumn("dow", F.weekday("business_date"))
+    daily = days.select(F.xxhash64("dow").alias("path_id"), F.datediff("business_date", F.lit("1992-01-01").cast("date")).alias("day_idx"), "dow", "peak", F.col("peak").alias("mean"), F.array("peak").alias("total"))
+    return hor.with_factor(daily, sim.factor(rows), 1).drop("total")
+
+
+@query()
+def eva_backtest(spark, sf_dir):
+    """Two folds of the simulation against what came; draws are hashes."""
+    return bat.backtest(panels.thirds(spark, sf_dir), 60, folds=2, paths=200, per_day=3)
+
+
+@query()
+def src_synthetic(spark, sf_dir):
+    """The generator's panel per app and fiscal year; it reads no table."""
+    rows = synthetic.generate(spark, synthetic.Spec(apps=8))["intervals"]
+    return rows.groupBy("app_id", "fiscal_year").agg(F.count("*").alias("n"), F.max("mips").alias("peak"), F.count_if("is_anomaly").alias("n_anomalies"))
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 

@@ -114,19 +114,39 @@ REDUCERS: dict[str, Callable[[], Column]] = {
     "mean_of_monthly_peaks": lambda: F.avg(F.when(F.col("month_first"), F.col("month_peak"))),
     "max_of_monthly_peaks": lambda: F.max("month_peak"),
     "top4_mean_of_daily_peaks": lambda: F.avg(F.when(F.col("day_rank") <= 4, F.col("daily_peak"))),
+    "monthly_peak_r4ha": lambda: F.avg(F.when(F.col("month_first"), F.col("month_r4ha"))),
+    "annual_peak_r4ha": lambda: F.max("daily_r4ha"),
+    "p95_of_daily_r4ha": lambda: F.percentile("daily_r4ha", 0.95),
+    "mean_of_daily_r4ha": lambda: F.avg("daily_r4ha"),
 }
+#: Which decision a reducer serves.
+FAMILIES = {
+    "hardware": ["annual_max", "max_of_monthly_peaks", "p99_of_daily_peaks", "top4_mean_of_daily_peaks"],
+    "sustained": ["mean_of_monthly_peaks", "p95_of_daily_peaks", "mean_of_daily_peaks", "mean_daily_mean"],
+    "software_cost": ["monthly_peak_r4ha", "annual_peak_r4ha", "p95_of_daily_r4ha", "mean_of_daily_r4ha"],
+}
+
+
+def needs_r4ha(names: list[str]) -> bool:
+    """Whether one of the reducers works on daily rolling averages."""
+    return any("r4ha" in n for n in names)
 
 
 def reduced(daily: DataFrame, keys: list[str], names: list[str] | None = None) -> DataFrame:
-    """One row per keys with a column for each reducer; `daily` has business_date, daily_peak and daily_mean."""
-    names = names or list(REDUCERS)
+    """One row per keys with a column for each reducer; `daily` has business_date, daily_peak, daily_mean, and daily_r4ha for those that need it."""
+    rolled = "daily_r4ha" in daily.columns
+    names = names or [n for n in REDUCERS if rolled or not needs_r4ha([n])]
     if unknown := set(names) - set(REDUCERS):
         raise KeyError(f"unknown reducers: {sorted(unknown)}")
+    if needs_r4ha(names) and not rolled:
+        raise ValueError("these reducers need daily_r4ha")
     month = Window.partitionBy(*keys, F.year("business_date"), F.month("business_date"))
     df = daily.withColumns({
         "month_peak": F.max("daily_peak").over(month), "month_first": F.row_number().over(month.orderBy("business_date")) == 1,
         "day_rank": F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("daily_peak"), "business_date")),
     })
+    if rolled:
+        df = df.withColumn("month_r4ha", F.max("daily_r4ha").over(month))
     return df.groupBy(*keys).agg(*[REDUCERS[n]().alias(n) for n in names])
 
 
