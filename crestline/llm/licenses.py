@@ -46,6 +46,8 @@ KEYS = ["licen[cs]e", "copyright", "spdx", "redistribut", "copyleft", "all right
 FILE_NAMES = ["license", "licence", "copying", "notice", "copyright"]
 LINE_SCORE, FILE_SCORE = 0.5, 0.9
 TERM = r"[^a-z0-9+.-]+"
+#: Parts into which the rows of a directory are dealt for the join with what they inherit.
+SALTS = 32
 
 
 def terms(text: str) -> list[str]:
@@ -148,7 +150,10 @@ def scan(files: DataFrame, ids: list[str], line_score: float = LINE_SCORE, file_
     above = F.transform(F.sequence(F.lit(0), F.size(parts)), lambda k: F.struct(k.alias("depth"), F.array_join(F.slice(parts, F.lit(1), k), "/").alias("up")))
     dirs = rows.where("_dir is not null").select("_dir").distinct().select("_dir", F.inline(F.array_distinct(above)))
     near = dirs.join(held, dirs["up"] == held["_up"]).groupBy("_dir").agg(F.max_by(F.struct("_given", "up"), "depth").alias("_near"))
-    joined = rows.join(near, "_dir", "left")
+    # A directory's rows are dealt to SALTS tasks; what they look up, a row a directory, goes to each of them.
+    near = near.select("*", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"))
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*ids, "path", "_own"), F.lit(SALTS)).cast("int"))
+    joined = salted.join(near, ["_dir", "_salt"], "left")
     via = F.when(F.col("_own").isNotNull() & F.col("_is_file"), "file").when(F.col("_own").isNotNull(), "header").when(F.col("_near").isNotNull(), "inherited").otherwise("none")
     taken = F.coalesce(F.col("_own"), F.col("_near._given"))
     return joined.select(
