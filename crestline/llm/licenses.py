@@ -5,7 +5,8 @@ vector and those of the templates; the best of a text decides if it reaches `lin
 frequencies of the templates' terms are counted over all documents; a term no template has weighs
 as one seen nowhere. A row is a licence file if its file name is one of FILE_NAMES or its whole
 text reaches `file_score`, and speaks for its directory. Rows without a licence of their own take
-that of the nearest directory above them that has one, by joins on paths.
+that of the nearest directory above them that has one, by joins on paths. A notice of reserved rights
+(RESERVED) is a licence of its own, so its row inherits nothing; it yields to any grant the text states.
 
 Everything is built from DataFrame functions; vectors are sparse and local to a row, so no text
 is shuffled. The templates are a fixed list, so what each row is held against is bounded.
@@ -28,8 +29,11 @@ from pyspark.sql import functions as F
 
 from crestline.llm.common import computed_once, text_of
 
-#: Short notices of public licences.
+#: The licence of a text that grants nothing.
+RESERVED = "All-Rights-Reserved"
+#: Short notices of public licences, and of none.
 TEMPLATES = {
+    RESERVED: "All rights reserved.",
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
     "BSD-3-Clause": "Redistribution and use in source and binary forms, with or without modification, are permitted under the BSD 3-Clause License.",
     "CC-BY-4.0": "Licensed under CC BY 4.0.",
@@ -134,7 +138,10 @@ def scan(files: DataFrame, ids: list[str], line_score: float = LINE_SCORE, file_
     best = lambda stats: _best(stats, idf, unseen, unit)
     rows = rows.withColumns({"_said": F.transform("_lines", terms_of), "_all": F.when(F.col("_t").isNotNull(), terms_of(F.col("_t")))})
     rows = rows.withColumns({"_said": F.transform("_said", _stats), "_all": F.when(F.col("_all").isNotNull(), _stats(F.col("_all")))})
-    rows = rows.select(*ids, "path", F.array_max(F.transform("_said", best)).alias("_head"), F.when(F.col("_all").isNotNull(), best(F.col("_all"))).alias("_whole"))
+    rows = rows.withColumn("_said", F.transform("_said", best))
+    granted = F.filter("_said", lambda b: (b["score"] >= line_score) & (b["licence"] != RESERVED))
+    head = F.coalesce(F.array_max(granted), F.array_max("_said"))
+    rows = rows.select(*ids, "path", head.alias("_head"), F.when(F.col("_all").isNotNull(), best(F.col("_all"))).alias("_whole"))
     rows = computed_once(rows)
     name = F.lower(F.regexp_extract(F.coalesce("path", F.lit("")), r"([^/]*)$", 1))
     named = F.regexp_replace(name, r"[.].*$", "").isin(FILE_NAMES)

@@ -195,6 +195,28 @@ def test_licences_inherit(spark):
     assert out["z.py"][1] == out[None][1] == out["e/f.py"][1] == "none"
 
 
+def test_every_licence_line_of_the_tables(spark):
+    said = {
+        "All rights reserved.": "All-Rights-Reserved", "Released under the MIT License.": "MIT", "Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0",
+        "Licensed under the Apache License, Version 2.0.": "Apache-2.0", "This work is licensed under the GNU General Public License, version 3.": "GPL-3.0",
+    }
+    docs = {r["doc_id"]: r["text"] for r in read(spark, SF, "documents").collect()}
+    out = {r["doc_id"]: r for r in queries.op2_license_scan(spark, SF).collect()}
+    want = {k: {said[x] for x in (t or "").split("\n") if x in said} for k, t in docs.items()}
+    assert set().union(*want.values()) == set(said.values())
+    for k, names in want.items():
+        assert out[k]["licence"] in names if names else out[k]["via"] not in ("file", "header"), (k, names, out[k])
+
+
+def test_reserved_rights_block_inheritance(spark):
+    files = [("a/LICENSE", "Released under the MIT License."), ("a/x.py", "# All rights reserved.\ncode"), ("a/y.py", "# Copyright 2020 Some Firm. All rights reserved.\ncode"), ("a/w.py", "code"),
+             ("b/z.py", "# Copyright 2020 Some Firm. All rights reserved.\n# Licensed under the Apache License, Version 2.0.\ncode"), ("b/v.py", "he wrote that some people think of all rights reserved by many other long words in prose here")]
+    files += [(f"c/{i}", "prose without any notice") for i in range(200)]
+    out = {r["path"]: (r["licence"], r["via"]) for r in licenses.scan(spark.createDataFrame(files, "path string, text string"), []).collect()}
+    assert out["a/x.py"] == out["a/y.py"] == ("All-Rights-Reserved", "header") and out["a/w.py"] == ("MIT", "inherited")
+    assert out["b/z.py"] == ("Apache-2.0", "header") and out["b/v.py"][1] == "none"
+
+
 def test_language(spark):
     out = queries.op3_language_id(spark, SF).collect()
     lang = {r["doc_id"]: r["lang"] for r in read(spark, SF, "documents").collect()}
