@@ -36,7 +36,6 @@ GRID = {
     "mean_word": [9.0, 10.0, 12.0, 15.0, 20.0],
 }
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-MAX_STRATA = 64
 _FEW = 64
 
 
@@ -152,9 +151,7 @@ def certified(measures: DataFrame, labels: DataFrame, risk: float = 0.005, delta
     """One row (stratum, measure, cutoff, lost, good, caught) for each rule that is on.
 
     `measures` is the result of `measured` with a `lang` column, `labels` has doc_id and quality. Documents that
-    fail the base rules and rows without stratum, label or doc_id take no part. At most
-    MAX_STRATA strata, those with most labelled good documents, are tested; the others keep no cutoffs,
-    which is what the guarantee asks for where labels are few.
+    fail the base rules and rows without stratum, label or doc_id take no part. Every stratum is tested.
     """
     labelled = labels.select("doc_id", F.col("quality").cast("int").alias("_q")).where("_q in (0, 1) and doc_id is not null").dropDuplicates(["doc_id"])
     held = (
@@ -167,7 +164,6 @@ def certified(measures: DataFrame, labels: DataFrame, risk: float = 0.005, delta
         for m, cs in GRID.items() for i, c in enumerate(cs) for q in (0, 1)
     ]
     table = held.groupBy("stratum").agg(F.count_if(F.col("_q") == 1).alias("good"), *counts)
-    table = table.orderBy(F.desc("good"), "stratum").limit(MAX_STRATA)
     tried = F.array(*[
         F.struct(F.lit(m).alias("measure"), F.lit(float(c)).alias("cutoff"), F.col(f"{m}|{i}|0").alias("caught"), F.col(f"{m}|{i}|1").alias("lost"))
         for m, cs in GRID.items() for i, c in enumerate(cs)
@@ -184,16 +180,21 @@ def certified(measures: DataFrame, labels: DataFrame, risk: float = 0.005, delta
 def judged(measures: DataFrame, rules: DataFrame) -> DataFrame:
     """`measures` with `kept`: the base rules and all rules of the stratum hold.
 
-    The rules, at most MAX_STRATA times the number of measures, become literals of the plan.
+    The rules come to the driver, at most one row a stratum and measure, and are joined by stratum as one row each.
     """
-    passes = F.lit(True)
-    found = {}
+    found: dict[str, dict[str, float]] = {}
     for r in rules.collect():
-        found.setdefault(r["measure"], []).append((r["stratum"], r["cutoff"]))
+        found.setdefault(r["stratum"], {})[r["measure"]] = r["cutoff"]
+    names = list(GRID)
+    table = measures.sparkSession.createDataFrame(
+        [(s, *[c.get(m) for m in names]) for s, c in sorted(found.items())],
+        ", ".join(["_stratum string", *[f"_cut_{m} double" for m in names]]),
+    )
+    passes = F.lit(True)
     for name, column in _measures().items():
-        for stratum, cutoff in sorted(found.get(name, [])):
-            passes = passes & ~((F.col("lang").eqNullSafe(stratum)) & (column > F.lit(cutoff)))
-    return measures.withColumn("kept", ~F.col("base_failed") & passes)
+        passes = passes & ~F.coalesce(column > F.col(f"_cut_{name}"), F.lit(False))
+    joined = measures.join(F.broadcast(table), F.col("lang") == F.col("_stratum"), "left")
+    return joined.withColumn("kept", ~F.col("base_failed") & passes).drop("_stratum", *[f"_cut_{m}" for m in names])
 
 
 def scan(docs: DataFrame, labels: DataFrame, risk: float = 0.005, delta: float = 0.05) -> DataFrame:

@@ -195,6 +195,16 @@ def test_licences_inherit(spark):
     assert out["z.py"][1] == out[None][1] == out["e/f.py"][1] == "none"
 
 
+def test_rules_of_every_language(spark):
+    plain = lambda i: " ".join(f"q{i}n{j}" for j in range(60))
+    docs = [(100 * k + i, ("### $$$ %%% &&& ||| <<< *** ### $$$ " * (i >= 20)) + plain(i), f"l{k:02d}", None, 0, 0, "", "") for k in range(70) for i in range(22)]
+    table, marks = spark.createDataFrame(docs, SCHEMA), spark.createDataFrame([(d[0], int(d[0] % 100 < 20)) for d in docs], "doc_id long, quality long")
+    rules = quality_rules.certified(quality_rules.measured(table), marks, risk=0.5).collect()
+    assert {r["stratum"] for r in rules} == {f"l{k:02d}" for k in range(70)}
+    out = quality_rules.scan(table.union(spark.createDataFrame([(9999, plain(1), None, None, 0, 0, "", "")], SCHEMA)), marks, risk=0.5).collect()
+    assert len(out) == 70 * 22 + 1 and all(r["kept"] == (r["doc_id"] == 9999 or r["doc_id"] % 100 < 20) for r in out)
+
+
 def test_every_licence_line_of_the_tables(spark):
     said = {
         "All rights reserved.": "All-Rights-Reserved", "Released under the MIT License.": "MIT", "Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0",
