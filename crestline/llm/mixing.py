@@ -1,8 +1,10 @@
 """Mixing sources to target weights by a multivariate-hypergeometric splitting tree.
 
 Each source's rows are put in a seeded random order and cut into up to 4096 blocks by their hash. The
-words a source owes become whole passes over its blocks plus a last, partial pass, which ends in one
-block; what is then missing is made up by the few documents whose sizes fit it best. How many blocks of each source go to each output shard is drawn by a splitting tree:
+words a source owes become whole passes over its blocks plus a last, partial pass, which takes documents in
+order up to a cut and leaves out those larger than what is owed. What is then missing is made up by the document whose
+size fits it best, or where that leaves more than half of it, by a further pass over the smaller ones, until no
+document brings the source nearer to its target; each step halves what is missing. How many blocks of each source go to each output shard is drawn by a splitting tree:
 the shards are halved again and again and each half's share of every source's quota is drawn from the
 multivariate hypergeometric distribution, so that all quotas are met exactly. Each shard then
 takes the next blocks of each source, disjoint by construction, and is shuffled by itself.
@@ -19,7 +21,7 @@ from __future__ import annotations
 
 import numpy as np
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from crestline.llm.common import key_of, text_of, words_of
@@ -27,8 +29,6 @@ from crestline.llm.common import key_of, text_of, words_of
 WEIGHTS, CEILING = (5, 2, 1), 3
 SEED, SHARDS = 20260101, 16
 _BITS = 12
-#: Documents that may be added to a source to come near its target.
-FILLS = 4
 
 
 def targets(sizes: list[int], weights: tuple[int, ...] = WEIGHTS, ceiling: int = CEILING) -> list[float]:
@@ -83,52 +83,83 @@ def planned(docs: DataFrame, carried: list[str], shards: int = SHARDS, seed: int
         "_s string, _all long, _target double, _whole int, _rest double",
     )
     order = Window.partitionBy("_s").orderBy("_b")
-    before = F.coalesce(F.sum("_words").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    blocks = small.select("_s", "_b", before.alias("_before"), (F.row_number().over(order) - 1).alias("_rank"))
-    blocks = blocks.join(given, "_s").withColumn("_last", F.col("_before") < F.col("_rest"))
-    partial = {r["_s"]: r["n"] for r in blocks.where("_last").groupBy("_s").agg(F.count("*").alias("n")).collect()}
+    blocks = small.select("_s", "_b", (F.row_number().over(order) - 1).alias("_rank")).join(given, "_s")
     within = Window.partitionBy("_s", "_b").orderBy("_h", "_size")
-
-    def ranked(rows: DataFrame, blocks: DataFrame) -> DataFrame:
-        """Rows with their place in their block, and whether the partial pass takes them whole."""
-        upto = F.sum("_size").over(within.rowsBetween(Window.unboundedPreceding, 0))
-        out = rows.withColumns({"_upto": upto, "_n": F.row_number().over(within)}).join(blocks, ["_s", "_b"])
-        return out.withColumn("_in", F.col("_before") + F.col("_upto") <= F.col("_rest"))
-
-    # What is left of the partial pass goes to the documents that fit it best, one after the other.
-    trial = ranked(light, blocks.select("_s", "_b", "_before", "_rest")).persist(StorageLevel.MEMORY_AND_DISK)
-    got = {r["_s"]: r["g"] for r in trial.where("_in").groupBy("_s").agg(F.sum("_size").alias("g")).collect()}
-    gaps = {s: r - got.get(s, 0) for s, r in zip(names, rest)}
+    place = F.row_number().over(within).alias("_n")
+    #: Per source, the cuts (cap, b, n): the partial pass takes documents of `cap` words at most up to place n of block b.
+    cuts: dict[str, list] = {s: [] for s in names}
     fill: dict[str, list] = {s: [] for s in names}
-    free = trial.where(~F.col("_in") & (F.col("_size") > 0))
-    for _ in range(FILLS):
-        used: dict[tuple, list] = {}
-        for s in names:
-            for b, n in fill[s]:
-                used.setdefault((s, b), []).append(n)
-        wanted = spark.createDataFrame([(s, gaps[s]) for s in names], "_s string, _gap double")
-        taken = spark.createDataFrame([(s, b, ns) for (s, b), ns in used.items()], "_s string, _b long, _used array<int>")
-        # Candidates stay where their blocks are: no task holds a source's.
-        asked = small.select("_s", "_b").join(wanted, "_s").join(taken, ["_s", "_b"], "left")
-        unused = ~F.coalesce(F.array_contains("_used", F.col("_n")), F.lit(False))
-        fit = free.join(asked, ["_s", "_b"]).where(unused & (F.abs(F.col("_size") - F.col("_gap")) < F.col("_gap")))
-        off = F.struct(F.abs(F.col("_size") - F.col("_gap")).alias("off"), "_b", "_n", "_size")
-        for r in fit.groupBy("_s").agg(F.min(off).alias("f")).collect():
-            fill[r["_s"]].append((r["f"]["_b"], r["f"]["_n"]))
-            gaps[r["_s"]] -= r["f"]["_size"]
+    gaps = dict(zip(names, rest))
+    taken = "_s string, _gap double, _cuts array<struct<cap: double, b: long, n: int>>, _fill array<struct<b: long, n: int>>"
+
+    def cut_in() -> Column:
+        upto = lambda c: (F.col("_b") < c["b"]) | ((F.col("_b") == c["b"]) & (F.col("_n") <= c["n"]))
+        return (F.col("_size") > 0) & F.exists("_cuts", lambda c: (F.col("_size") <= c["cap"]) & upto(c))
+
+    numbered = light.select("_s", "_b", "_size", place).persist(StorageLevel.MEMORY_AND_DISK)
+
+    def free(of: list[str]) -> DataFrame:
+        """Documents of the sources `of` that the partial pass does not take yet, with their source's gap."""
+        state = F.broadcast(spark.createDataFrame([(s, gaps[s], cuts[s], fill[s]) for s in of], taken))
+        filled = F.array_contains("_fill", F.struct(F.col("_b").alias("b"), F.col("_n").alias("n")))
+        return numbered.join(state, "_s").where((F.col("_size") > 0) & ~cut_in() & ~filled)
+
+    def passed(of: list[str]) -> None:
+        """A pass over the free documents no larger than the gap, up to the first that would overshoot."""
+        fit = free(of).where(F.col("_size") <= F.col("_gap"))
+        ahead = F.sum("_words").over(order) - F.col("_words")
+        sums = fit.groupBy("_s", "_b").agg(F.sum("_size").alias("_words"), F.first("_gap").alias("_gap"))
+        sums = sums.withColumn("_before", ahead).withColumn("_over", F.col("_before") + F.col("_words") > F.col("_gap"))
+        ends = sums.groupBy("_s").agg(F.min(F.when(F.col("_over"), F.struct("_b", "_before"))).alias("_end"), F.sum("_words").alias("_sum")).collect()
+        open_ = [(r["_s"], r["_end"]["_b"], r["_end"]["_before"]) for r in ends if r["_end"]]
+        last = fit.join(F.broadcast(spark.createDataFrame(open_, "_s string, _b long, _before long")), ["_s", "_b"])
+        last = last.withColumn("_upto", F.col("_before") + F.sum("_size").over(Window.partitionBy("_s").orderBy("_n")))
+        held = F.col("_upto") <= F.col("_gap")
+        stops = {r["_s"]: r for r in last.groupBy("_s").agg(F.max(F.when(held, F.col("_n"))).alias("n"), F.max(F.when(held, F.col("_upto"))).alias("got")).collect()} if open_ else {}
+        for r in ends:
+            cap, (b, n, got) = gaps[r["_s"]], (2**_BITS, 0, r["_sum"])
+            if r["_end"]:
+                stop = stops[r["_s"]]
+                b, n, got = r["_end"]["_b"], stop["n"] or 0, r["_end"]["_before"] if stop["got"] is None else stop["got"]
+            cuts[r["_s"]].append((cap, b, n))
+            gaps[r["_s"]] -= got
+
+    passed([s for s in names if gaps[s] >= 1])
+    # Candidates stay where their blocks are: no task holds a source's.
+    while near := [s for s in names if gaps[s] > 0.5]:
+        off = F.abs(F.col("_size") - F.col("_gap"))
+        far = off > F.col("_gap") / 2
+        best = F.min(F.struct(far.alias("far"), (far & (F.col("_size") > F.col("_gap"))).alias("over"), off.alias("off"), "_b", "_n", "_size")).alias("f")
+        found = {r["_s"]: r["f"] for r in free(near).where(off < F.col("_gap")).groupBy("_s").agg(best).collect()}
+        if not found:
+            break
+        again = []
+        for s, f in found.items():
+            if not f["far"] or f["over"]:
+                fill[s].append((f["_b"], f["_n"]))
+                gaps[s] -= f["_size"]
+            else:
+                again.append(s)
+        if again:
+            passed(again)
+    numbered.unpersist()
+    # Blocks that have documents of the partial pass.
+    end = spark.createDataFrame([(s, max([c[1] for c in cuts[s]], default=-1)) for s in names], "_s string, _end long")
+    blocks = blocks.join(F.broadcast(end), "_s").withColumn("_last", F.col("_b") <= F.col("_end"))
+    partial = {r["_s"]: r["n"] for r in blocks.where("_last").groupBy("_s").agg(F.count("*").alias("n")).collect()}
     quotas = np.array([k * totals[s][1] + max(partial.get(s, 0), int(bool(fill[s]))) for s, k in zip(names, whole)], dtype=np.int64)
     dealt = np.cumsum(split(quotas, shards, np.random.default_rng(seed)), axis=0)[:-1] if names else np.zeros((0, 0))
-    cuts = spark.createDataFrame(
-        [(s, totals[s][1], dealt[:, i].tolist(), fill[s], int((dealt[:, i] < quotas[i]).sum())) for i, s in enumerate(names)],
-        "_s string, _blocks long, _cuts array<long>, _fill array<struct<b: long, n: int>>, _fill_shard int",
+    shares = spark.createDataFrame(
+        [(s, totals[s][1], dealt[:, i].tolist(), cuts[s], fill[s], int((dealt[:, i] < quotas[i]).sum())) for i, s in enumerate(names)],
+        "_s string, _blocks long, _dealt array<long>, _cuts array<struct<cap: double, b: long, n: int>>, _fill array<struct<b: long, n: int>>, _fill_shard int",
     )
     passes = F.filter(F.sequence(F.lit(0), F.col("_whole")), lambda p: (p < F.col("_whole")) | F.col("_last"))
-    at = lambda p: F.size(F.filter("_cuts", lambda c: c <= p * F.col("_blocks") + F.col("_rank")))
-    blocks = blocks.join(cuts, "_s").withColumn("_shards", F.transform(passes, at))
-    blocks = blocks.select("_s", "_b", "_before", "_all", "_target", "_whole", "_rest", "_shards", "_fill", "_fill_shard")
-    out = ranked(rows, blocks)
+    at = lambda p: F.size(F.filter("_dealt", lambda c: c <= p * F.col("_blocks") + F.col("_rank")))
+    blocks = blocks.join(shares, "_s").withColumn("_shards", F.transform(passes, at))
+    blocks = blocks.select("_s", "_b", "_all", "_target", "_whole", "_shards", "_cuts", "_fill", "_fill_shard")
+    out = rows.withColumn("_n", F.row_number().over(within)).join(blocks, ["_s", "_b"])
     filler = F.array_contains("_fill", F.struct(F.col("_b").alias("b"), F.col("_n").alias("n")))
-    own = F.slice("_shards", F.lit(1), F.col("_whole") + F.when(F.col("_in") & (F.col("_size") > 0), 1).otherwise(0))
+    own = F.slice("_shards", F.lit(1), F.col("_whole") + F.when(cut_in(), 1).otherwise(0))
     dealt_to = F.when(filler, F.concat(F.slice("_shards", F.lit(1), F.col("_whole")), F.array("_fill_shard"))).otherwise(own)
     mix = F.struct(
         F.col("_size").alias("size"), F.col("_all").alias("source_size"), F.col("_target").alias("target"),

@@ -147,6 +147,22 @@ def test_mixing_meets_targets(spark):
     assert sorted(map(tuple, out), key=repr) == sorted(map(tuple, again), key=repr)
 
 
+def test_mixing_passes_long_documents_by(spark):
+    from pyspark.sql import functions as F
+
+    rng = np.random.default_rng(7)
+    sizes = {"a": [3000] * 100, "b": [100_000, *rng.integers(50, 551, 1000).tolist()]}
+    docs = spark.createDataFrame([(2000 * i + j, "w " * n, s) for i, s in enumerate(sizes) for j, n in enumerate(sizes[s])], "doc_id long, text string, source string")
+    # A seed that puts the long document among the first of its source; about 60,000 words of it are owed.
+    places = [F.shiftrightunsigned(F.xxhash64(F.lit(seed), "doc_id", "text"), 52) for seed in range(200)]
+    seed = int(np.argmin(docs.where("doc_id = 2000").select(*places).first()))
+    rows = mixing.planned(docs, ["source"], seed=seed, weights=(240, 460)).select("source", "_mix.*").collect()
+    for s, most in (("a", 3000), ("b", 550)):
+        own = [r for r in rows if r["source"] == s]
+        assert len(own) == len(sizes[s]) and all(r["copies"] == len(r["shards"]) for r in own)
+        assert abs(sum(r["size"] * r["copies"] for r in own) - own[0]["target"]) <= most, (seed, s)
+
+
 def test_split_is_exact():
     q = np.array([17, 0, 5, 1000])
     parts = mixing.split(q, 7, np.random.default_rng(3))
