@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 #: Fixed value: the separators between words, as a Java regular expression.
 SPACES = r"[\x20\x09-\x0D]+"
+#: A key is hot if it holds more than a HOT_KEYS-th of all rows (so there are fewer such keys), and more than LEAST_HOT rows.
+HOT_KEYS, LEAST_HOT = 100_000, 1000
 
 
 def text_of(col: str = "text") -> Column:
@@ -34,12 +36,14 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 def cut(df: DataFrame) -> DataFrame:
     """`df`, computed and stored in the shared checkpoint folder, with its lineage cut.
 
-    The folder is the one named by spark.checkpoint.dir; only where that is unset (tests) a
-    temporary one is made.
+    The folder is the one named by spark.checkpoint.dir; only where that is unset and Spark runs in one
+    process (tests) a temporary one is made.
     """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         shared = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not shared and not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir names no shared folder for intermediate tables")
         context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="checkpoint-"))
     out = df.checkpoint(eager=True)
     # Shuffle files of what was cut stay on disk until the driver finds that nothing refers to them.
@@ -51,3 +55,52 @@ def cut(df: DataFrame) -> DataFrame:
 def computed_once(df: DataFrame) -> DataFrame:
     """`df`, with its columns behind a barrier: filters above are not pushed below it, where they would compute costly columns again."""
     return df.select(F.inline(F.array(F.struct(*df.columns))))
+
+
+def salts(df: DataFrame) -> int:
+    """Into how many parts the rows of one key are dealt: a few for each shuffle partition."""
+    return 4 * max(16, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def hot_keys(counts: DataFrame, keys: list[str], total: int) -> DataFrame | None:
+    """The keys that hold more than a HOT_KEYS-th of `total` rows by `counts` (keys and m), so HOT_KEYS of them at most; None if there are none."""
+    found = counts.where(F.col("m") > max(total // HOT_KEYS, LEAST_HOT)).select(*keys)
+    rows = found.collect()
+    return counts.sparkSession.createDataFrame(rows, found.schema) if rows else None
+
+
+def joined(rows: DataFrame, table: DataFrame, keys: list[str], spread: Column, hot: DataFrame | None, how: str = "inner") -> DataFrame:
+    """The join of `rows` with `table` (few rows a key) by `keys`, which aren't null; rows of the `hot` keys are dealt to many tasks by `spread`."""
+    if hot is None:
+        return rows.join(table, keys, how)
+    mark, n = F.broadcast(hot.withColumn("_hot", F.lit(True))), salts(rows)
+    dealt = rows.join(mark, keys, "left").withColumn("_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(spread), F.lit(n)).cast("int")).otherwise(0)).drop("_hot")
+    every = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(n - 1))).otherwise(F.array(F.lit(0)))
+    copied = table.join(mark, keys, "left").withColumn("_salt", F.explode(every)).drop("_hot")
+    return dealt.join(copied, [*keys, "_salt"], how).drop("_salt")
+
+
+def row_hash(df: DataFrame) -> Column:
+    """A 64-bit hash of all columns of a row; a null counts, and so does where it stands."""
+    from pyspark.sql import types as T
+
+    def plain(field: T.StructField) -> Column:
+        col = F.col(f"`{field.name}`")
+        return F.to_json(F.struct(col)) if "map<" in field.dataType.simpleString() else col
+
+    return F.xxhash64(*[x for f in df.schema.fields for x in (plain(f), F.col(f"`{f.name}`").isNull())])
+
+
+def fresh(columns: list[str], name: str) -> str:
+    """A column name like `name` that clashes with none of `columns`."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def settled(labels: DataFrame, column: str) -> DataFrame:
+    """(doc_id, `column`) of each labelled document once; null, other than 0 or 1, and contradicting labels are left out."""
+    usable = labels.select("doc_id", F.col(column).cast("int").alias(column)).where(F.col("doc_id").isNotNull() & F.col(column).isin(0, 1))
+    found = usable.groupBy("doc_id").agg(F.min(column).alias(column), F.max(column).alias("_most"))
+    return found.where(F.col(column) == F.col("_most")).drop("_most")

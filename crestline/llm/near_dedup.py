@@ -7,19 +7,24 @@ Jaccard similarity, whatever their sizes. Stored is a 16-bit register per bucket
 leading-zero count and 10 bits of mantissa (mixed with the round). Bands of six registers, 42 of them, bring
 sets of similarity 0.8 together but for a chance of 2e-6.
 
-Copies with equal sets are folded first. Within a band, each set is held against one member only, the
+Copies with equal sets are folded first: each different set is a node of its own, whatever doc_ids its rows
+have. Within a band, each set is held against one member only, the
 one that meets most others in all bands (a star), never against all others;
 members of bands that still hold several components after that are joined by the rarest shingles of
-their sets, which finds every pair that can be similar and few others. A pair passes a
+their sets, which finds every pair that can be similar and few others; components meet there, so members
+of one component never meet each other again. A pair passes a
 collision-corrected estimate from the registers first, with a margin of six standard
 deviations, and then the exact comparison of full sets. Links are followed to components by
-large-star/small-star rounds.
+large-star/small-star rounds, whose number grows with the logarithm of the longest chain. Bands, sets, shingles
+and nodes that hold many rows are dealt to many tasks in every join.
 
 Cases: null text and texts without words have an empty set and link with nothing; a text with
-fewer words than `width` has its whole sequence as one shingle; rows with a null doc_id take no
-part (component_id null, kept); rows of equal set are one class; repeated doc_ids share one
-row's fate if their sets are equal; an empty table gives an empty result; further columns pass
-through `dedup`.
+fewer words than `width` has its whole sequence as one shingle; very long texts are one row's work, linear in
+their length; rows with a null doc_id take no part (component_id null, kept); rows of equal set are one class;
+rows that share a doc_id but not the set are judged each by its own set; an empty table gives an empty
+result. `dedup` keeps, of each component, the row with the least doc_id, then the least key of its set, then
+the least hash of all its columns, and of rows equal in every column one; a component is never left without a
+row; all columns pass through, whatever their names.
 """
 
 from __future__ import annotations
@@ -32,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from crestline.llm.common import cut
+from crestline.llm.common import cut, fresh, hot_keys, joined, row_hash
 
 BUCKETS, BAND, BANDS = 252, 6, 42
 _SEED = np.uint64(0x9E3779B97F4A7C15)
@@ -41,8 +46,6 @@ _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 COLLISION = 2.0**-10 / 3
 MARGIN = 6 * (0.8 * 0.2 / BUCKETS) ** 0.5
 _WORDS_KEPT = 400_000
-#: Rounds in which the members of a band are held against one of them.
-STARS = 1
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -109,7 +112,7 @@ def estimate(a: np.ndarray, b: np.ndarray) -> float:
 
 
 def _signed(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id, n, key (of the whole set) and regs of each row; regs are null for empty sets."""
+    """doc_id, x, n, key (of the whole set) and regs of each row of `docs` (doc_id, x, text); key and regs are null for empty sets."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words = Words()
@@ -120,19 +123,27 @@ def _signed(docs: DataFrame, width: int) -> DataFrame:
                 n.append(len(s))
                 keys.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
                 regs.append(sketch(s).tobytes() if len(s) else None)
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "n": n, "key": keys, "regs": regs})
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "x": batch["x"], "n": n, "key": keys, "regs": regs})
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(run, "doc_id long, n long, key binary, regs binary")
+    return docs.mapInPandas(run, "doc_id long, x long, n long, key binary, regs binary")
 
 
 def _with_sets(docs: DataFrame, width: int) -> DataFrame:
+    """node, s (the set) and r (its registers) of each node of `docs` (node, text)."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words = Words()
+        words, seen = Words(), set()
         for batch in batches:
-            sets = [shingle_set(t, width, words) for t in batch["text"]]
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "s": [s.tobytes() for s in sets], "r": [sketch(s).tobytes() if len(s) else b"" for s in sets]})
+            # Rows equal in every column stand for one node.
+            new = [i for i, node in enumerate(batch["node"]) if not (node in seen or seen.add(node))]
+            sets = [shingle_set(batch["text"].iat[i], width, words) for i in new]
+            yield pd.DataFrame({"node": batch["node"].iloc[new].to_numpy(), "s": [s.tobytes() for s in sets], "r": [sketch(s).tobytes() if len(s) else b"" for s in sets]})
+
+    return docs.mapInPandas(run, "node long, s binary, r binary")
 
-    return docs.mapInPandas(run, "doc_id long, s binary, r binary")
+
+def _count(rows: DataFrame, key: str) -> DataFrame:
+    return rows.groupBy(key).agg(F.count("*").alias("m"))
 
 
 def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -150,38 +161,43 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 keep.append(100 * both >= percent * (len(x) + len(y) - both))
             yield batch.loc[keep, ["a", "b"]]
 
-    a = sets.select(F.col("doc_id").alias("a"), F.col("s").alias("sa"), F.col("r").alias("ra"))
-    b = sets.select(F.col("doc_id").alias("b"), F.col("s").alias("sb"), F.col("r").alias("rb"))
-    return pairs.join(a, "a").join(b, "b").mapInPandas(run, "a long, b long").distinct()
+    a = sets.select(F.col("node").alias("a"), F.col("s").alias("sa"), F.col("r").alias("ra"))
+    b = sets.select(F.col("node").alias("b"), F.col("s").alias("sb"), F.col("r").alias("rb"))
+    total = pairs.count()
+    first = joined(pairs, a, ["a"], F.col("b"), hot_keys(_count(pairs, "a"), ["a"], total))
+    both = joined(first, b, ["b"], F.col("a"), hot_keys(_count(pairs, "b"), ["b"], total))
+    return both.mapInPandas(run, "a long, b long").distinct()
 
 
 def _by_prefix(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """All pairs (a, b) of different components `c` among `rows` (rep, c) that can have the similarity.
+    """All pairs (a, b) of different components `c` among `rows` (node, c) that can have the similarity.
 
     Two sets with Jaccard similarity t share one of the n - ceil(t n) + 1 rarest shingles of
     each, rarity being any order common to all, and after the first they share, both have enough
-    left to reach the intersection.
+    left to reach the intersection. Components, not sets, are paired by shingle first.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for rep, c, s in zip(batch["rep"], batch["c"], batch["s"]):
+            for node, c, s in zip(batch["node"], batch["c"], batch["s"]):
                 h = np.frombuffer(s, np.int64)
-                yield pd.DataFrame({"rep": rep, "c": c, "n": len(h), "h": h})
+                yield pd.DataFrame({"node": node, "c": c, "n": len(h), "h": h})
 
-    held = rows.join(sets.select(F.col("doc_id").alias("rep"), "s"), "rep")
-    shingles = cut(held.mapInPandas(run, "rep long, c long, n long, h long").distinct())
-    often = shingles.groupBy("h").agg(F.count("*").alias("df")).where("df > 1")
+    shingles = cut(rows.join(sets.select("node", "s"), "node").mapInPandas(run, "node long, c long, n long, h long").distinct())
+    often = shingles.groupBy("h").agg(F.count("*").alias("m"), F.min("c").alias("x"), F.max("c").alias("y")).where("m > 1")
     # Shingles of one set alone come first in the order, and find no partner.
-    shared = shingles.join(often, "h")
-    alone = Window.partitionBy("rep")
-    place = F.row_number().over(alone.orderBy("df", "h")) + (F.col("n") - F.count("*").over(alone))
+    shared = joined(shingles, often, ["h"], F.col("node"), hot_keys(often, ["h"], shingles.count()))
+    alone = Window.partitionBy("node")
+    place = F.row_number().over(alone.orderBy("m", "h")) + (F.col("n") - F.count("*").over(alone))
     prefix = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
-    kept = cut(shared.withColumn("place", place).where(F.col("place") <= prefix).select("rep", "c", "n", "h", "place"))
-    side = lambda k: kept.select("h", F.col("rep").alias(k), F.col("n").alias(f"n{k}"), F.col("c").alias(f"c{k}"), F.col("place").alias(f"p{k}"))
+    kept = cut(shared.withColumn("place", place).where((F.col("place") <= prefix) & (F.col("x") != F.col("y"))).select("node", "c", "n", "h", "place"))
+    groups = kept.select("h", "c").distinct()
+    meet = groups.select("h", F.col("c").alias("ca")).join(groups.select("h", F.col("c").alias("cb")), "h").where("ca < cb")
+    side = lambda k: kept.select("h", F.col("node").alias(k), F.col("n").alias(f"n{k}"), F.col("c").alias(f"c{k}"), F.col("place").alias(f"p{k}"))
     # What can still be shared from the first common shingle on must reach the least intersection.
     sized = f"{100 + percent} * (1 + least(na - pa, nb - pb)) >= {percent} * (na + nb)"
-    return side("a").join(side("b"), "h").where(f"a < b and ca <> cb and {sized}").select("a", "b").distinct()
+    pairs = meet.join(side("a"), ["h", "ca"]).join(side("b"), ["h", "cb"]).where(sized)
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -191,11 +207,14 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         # Large star: neighbours above a node go to the least of its neighbourhood.
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("least"), F.count("*").alias("m"))
+        total = 2 * state[0] if state else both.count()
+        star = joined(both.where("v > u"), least.drop("m"), ["u"], F.col("v"), hot_keys(least, ["u"], total))
+        large = star.select(F.col("v").alias("u"), F.col("least").alias("v")).where("u <> v").distinct()
         # Small star: neighbours below a node go to the least of them, and so does the node.
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v")))
+        low = large.groupBy("u").agg(F.min("v").alias("least"), F.count("*").alias("m"))
+        star = joined(large, low.drop("m"), ["u"], F.col("v"), hot_keys(low, ["u"], total))
+        small = star.select(F.col("v").alias("u"), F.col("least").alias("v")).unionByName(low.select("u", F.col("least").alias("v")))
         edges = cut(small.where("u <> v").distinct())
         now = edges.agg(F.count("*"), F.sum(F.hash("u", "v").cast("long")), F.sum("v")).first()
         if now == state:
@@ -204,59 +223,67 @@ def components(edges: DataFrame) -> DataFrame:
     return edges.groupBy("u").agg(F.min("v").alias("component")).withColumnRenamed("u", "node")
 
 
-def linked(docs: DataFrame, width: int, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept of each row of `docs` (doc_id, text)."""
+def _judged(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """doc_id, x, n_shingles, component_id and head of each row of `docs` (doc_id, x, text); head: the row stands for its component."""
     signed = cut(_signed(docs, width))
     sets = signed.where("key is not null and doc_id is not null")
-    heads = sets.groupBy("key").agg(F.min("doc_id").alias("rep"))
-    members = sets.select("doc_id", "n", "key", "regs").join(heads, "key").where("doc_id = rep")
+    folded = sets.groupBy("key").agg(F.min(F.struct("doc_id", "x")).alias("first"), F.count("*").alias("m"), F.first("n").alias("n"), F.first("regs").alias("regs"))
+    heads = cut(folded.withColumn("node", F.monotonically_increasing_id()))
+    nodes = heads.count()
     band = F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1)))
     width_bytes = 2 * BAND
-    banded = members.select("rep", "n", "regs", band.alias("i")).select(
-        "rep", "n", F.xxhash64("i", F.substring("regs", F.col("i") * width_bytes + 1, F.lit(width_bytes))).alias("band")
+    banded = heads.select("node", "regs", band.alias("i")).select(
+        "node", F.xxhash64("i", F.substring("regs", F.col("i") * width_bytes + 1, F.lit(width_bytes))).alias("band")
     )
-    shared = banded.groupBy("band").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi"), F.count("*").alias("m")).where("lo <> hi")
-    rows = cut(banded.join(shared.select("band", "m"), "band").dropDuplicates(["band", "rep"]))
+    shared = cut(banded.groupBy("band").agg(F.count("*").alias("m"), F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi").select("band", "m"))
+    hot = hot_keys(shared, ["band"], BANDS * nodes)
+    rows = joined(banded, shared, ["band"], F.col("node"), hot).dropDuplicates(["band", "node"])
     # The member that meets most others is the likeliest centre of a band.
-    central = rows.groupBy("rep").agg(F.sum("m").alias("met"))
-    rows = cut(rows.join(central, "rep"))
-    texts = docs.select(F.col("doc_id").cast("long"), "text").join(central.select("rep"), F.col("doc_id") == F.col("rep"), "left_semi")
-    known = cut(_with_sets(texts, width))
-    tested = links = served = None
-    found = docs.sparkSession.createDataFrame([], "node long, component long")
-    pair = lambda x, y: [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
-    for _ in range(STARS):
-        placed = rows.join(found, rows["rep"] == found["node"], "left").withColumn("c", F.coalesce("component", "rep")).drop("node", "component")
-        open_ = placed.groupBy("band").agg(F.min("c").alias("x"), F.max("c").alias("y")).where("x <> y").select("band")
-        placed = placed.join(open_, "band")
-        free = placed if served is None else placed.join(served, ["band", "rep"], "left_anti")
-        hubs = free.groupBy("band").agg(F.max_by(F.struct(F.col("rep").alias("hub"), F.col("c").alias("hc")), F.struct("met", -F.col("rep"))).alias("h")).select("band", "h.*")
-        served = hubs.select("band", F.col("hub").alias("rep")) if served is None else served.unionByName(hubs.select("band", F.col("hub").alias("rep")))
-        served = cut(served)
-        stars = placed.join(hubs, "band").where("c <> hc").select(*pair("hub", "rep")).distinct()
-        stars = cut(stars if tested is None else stars.join(tested, ["a", "b"], "left_anti"))
-        new = cut(_links(stars, known, percent))
-        tested = stars if tested is None else tested.unionByName(stars)
-        links = new if links is None else links.unionByName(new)
-        found = components(links)
+    rows = cut(rows)
+    central = rows.groupBy("node").agg(F.sum("m").alias("met"))
+    rows = cut(rows.join(central, "node"))
+    wanted = heads.join(central.select("node"), "node").select("node", "first.doc_id", "first.x")
+    known = cut(_with_sets(docs.join(wanted, ["doc_id", "x"]).select("node", "text"), width))
+    hubs = rows.groupBy("band").agg(F.max_by("node", F.struct("met", -F.col("node"))).alias("hub"))
+    stars = joined(rows.select("band", "node"), hubs, ["band"], F.col("node"), hot).where("node <> hub")
+    stars = cut(stars.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct())
+    links = cut(_links(stars, known, percent))
+    found = components(links)
     # Members of bands that still hold several components are joined by their rarest shingles.
-    placed = rows.join(found, rows["rep"] == found["node"], "left").select("band", "rep", F.coalesce("component", "rep").alias("c"))
-    open_ = placed.groupBy("band").agg(F.min("c").alias("x"), F.max("c").alias("y"), F.count("*").alias("m")).where(f"x <> y and m > {STARS + 1}").select("band")
-    rest = cut(placed.join(open_, "band").select("rep", "c").distinct())
-    across = cut(_by_prefix(rest, known, percent).join(tested, ["a", "b"], "left_anti"))
+    placed = rows.join(found, "node", "left").select("band", "node", F.coalesce("component", "node").alias("c"))
+    open_ = placed.groupBy("band").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("m")).where("lo <> hi and m > 2")
+    rest = cut(joined(placed, open_.select("band"), ["band"], F.col("node"), hot).select("node", "c").distinct())
+    across = cut(_by_prefix(rest, known, percent).join(stars, ["a", "b"], "left_anti"))
     if across.limit(1).count():
         found = components(links.unionByName(_links(across, known, percent)))
-    by_rep = heads.join(found, heads["rep"] == found["node"], "left").select("key", F.coalesce("component", "rep").alias("_c"))
-    out = signed.select("doc_id", "n", "key").join(by_rep, "key", "left")
-    component = F.coalesce("_c", "doc_id")
-    return out.select(
-        "doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),
-        F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
-    )
+    # What stands for a component is the first row of its first set.
+    graph = heads.select("node", "key", "first", "m").join(found, "node", "left").withColumn("c", F.coalesce("component", "node"))
+    best = graph.groupBy("c").agg(F.min(F.struct(F.col("first.doc_id"), "key", F.col("first.x"))).alias("head"), F.count("*").alias("m"))
+    graph = joined(graph.select("node", "key", "c", F.col("m").alias("of")), best.drop("m"), ["c"], F.col("node"), hot_keys(best, ["c"], nodes))
+    graph = graph.select("key", "head", F.col("of").alias("m"))
+    signed = signed.select("doc_id", "x", "n", "key", F.coalesce("key", F.lit(b"")).alias("k"))
+    graph = graph.withColumnRenamed("key", "k")
+    out = joined(signed.where("key is not null and doc_id is not null"), graph.drop("m"), ["k"], F.struct("doc_id", "x"), hot_keys(graph, ["k"], signed.count()))
+    out = out.select("doc_id", "x", "n", F.col("head.doc_id").alias("c"), (F.struct("doc_id", "key", "x") == F.col("head")).alias("h"))
+    alone = signed.where("key is null or doc_id is null").select("doc_id", "x", "n", F.col("doc_id").alias("c"), F.lit(True).alias("h"))
+    out = out.unionByName(alone)
+    return out.select("doc_id", "x", F.col("n").alias("n_shingles"), F.col("c").alias("component_id"), F.col("h").alias("head"))
+
+
+def linked(docs: DataFrame, width: int, percent: int = 80) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept (doc_id = component_id) of each row of `docs` (doc_id, text)."""
+    rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("x"), "text")
+    kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
+    return _judged(rows, width, percent).select("doc_id", "n_shingles", "component_id", kept.alias("kept"))
 
 
 def dedup(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of `docs` that `linked` keeps, one for each kept doc_id, with the columns of `docs`."""
-    gone = linked(docs, width, percent).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    rows = docs.withColumn("_copy", F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id()))
-    return rows.join(gone, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti").dropDuplicates(["doc_id", "_copy"]).drop("_copy")
+    """One row of each component of `docs`, with the columns of `docs`; rows without words or doc_id all stay, but for full repeats."""
+    mark, same = fresh(docs.columns, "_x"), fresh(docs.columns, "_id")
+    marked = docs.withColumns({mark: row_hash(docs), same: F.col("doc_id").cast("long")})
+    judged = cut(_judged(marked.select(F.col(same).alias("doc_id"), F.col(mark).alias("x"), "text"), width, percent))
+    gone = judged.where("not head").select(F.col("doc_id").alias(same), F.col("x").alias(mark)).distinct()
+    repeated = judged.groupBy("doc_id", "x").agg(F.count("*").alias("n")).where("n > 1").limit(1).count()
+    if repeated:
+        marked = marked.dropDuplicates([same, mark])
+    return marked.join(gone, [same, mark], "left_anti").drop(mark, same)

@@ -179,8 +179,8 @@ def test_near_estimate_and_prefix_join(spark):
         assert abs(near_dedup.estimate(near_dedup.sketch(a), near_dedup.sketch(b)) - len(np.intersect1d(a, b)) / len(np.union1d(a, b))) < 0.12
     base = [f"w{i}" for i in range(60)]
     texts = {i: " ".join(base[: 60 - i] + [f"u{i}x{j}" for j in range(i)]) for i in range(12)}
-    sets = near_dedup._with_sets(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), 2)
-    got = {(r["a"], r["b"]) for r in near_dedup._by_prefix(spark.createDataFrame([(i, i) for i in texts], "rep long, c long"), sets, 80).collect()}
+    sets = near_dedup._with_sets(spark.createDataFrame(list(texts.items()), "node long, text string"), 2)
+    got = {(r["a"], r["b"]) for r in near_dedup._by_prefix(spark.createDataFrame([(i, i) for i in texts], "node long, c long"), sets, 80).collect()}
     s = {i: set(zip(t.split(), t.split()[1:])) for i, t in texts.items()}
     want = {(a, b) for a in s for b in s if a < b and 100 * len(s[a] & s[b]) >= 80 * len(s[a] | s[b])}
     assert want and want <= got
