@@ -31,7 +31,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens and ids of each document."""
+    """doc_id, n_tokens, ids and the sha256 of the ids' decoding of each document; null text has no tokens."""
     return bpe.encoded(docs, tokenizer_path())
 
 

@@ -1,19 +1,21 @@
 """BPE encoding as a bounded-lookahead streaming transducer, and incremental decoding.
 
-Encoding. A text is cut into pre-tokens by the vocabulary's pattern, in pieces that end where no
-pre-token can continue. Each pre-token goes through a transducer over bytes. It uses two facts of BPE:
+Encoding. A text is cut into pre-tokens by the vocabulary's pattern, window by window; windows end where no
+pre-token can continue. The bytes of each pre-token go through the transducer in chunks of bounded size, whatever its
+length. It uses two facts of BPE:
 a token sequence is the encoding of its bytes exactly if each two neighbours stay apart when encoded
 together, and so the last token of a prefix's encoding is the longest one that ends there and is compatible
-with the last token of what precedes it. The transducer keeps, for the last `lookahead` bytes,
-the last token of each prefix; `lookahead` is computed from the merge list (the longest token). Whatever
-follows, the encoding passes through one of these prefixes, so tokens before the point where
-all of their chains meet are stable and are emitted at once. Memory does not grow with the pre-token.
+with the last token of what precedes it. The transducer keeps the last token of each prefix since the last
+stable point. `lookahead`, computed from the merge list (`sufficient_lookahead`, with the proof), is how many bytes
+after a place settle whether there is a token boundary, whatever follows. So the tokens that end at least `lookahead`
+bytes before the end of what was read are stable and are emitted at once, and the state is bounded by the lookahead, a token and a chunk.
 
 Decoding. Token bytes are fed, a bounded number at a time, to an incremental state machine from bytes
 to text that holds back at most an unfinished character and replaces ill-formed bytes.
 
 Cases: null text is the empty text, with no tokens; special tokens' strings in a text become their
-ids, as the tokenizers library does by default; repeated rows are encoded alike; an empty
+ids, as the tokenizers library does by default; texts and pre-tokens of any length take memory for
+themselves and the constant state; repeated rows are encoded alike; an empty
 table gives an empty result; further columns are ignored.
 """
 
@@ -25,7 +27,7 @@ import json
 import re
 import sys
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -35,9 +37,12 @@ from pyspark.sql import DataFrame
 
 #: Fixed value: the byte-level pre-tokenizer's pattern.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-_UNITS_KEPT, _DECODED, _NEVER = 600_000, 8192, 2**31
+_UNITS_KEPT, _FITS_KEPT, _DECODED, _NEVER = 500_000, 1_000_000, 8192, 2**31
+#: Characters of a window of text, and bytes of a chunk fed to the transducer.
+WINDOW, CHUNK = 65_536, 1024
 _PLAIN = re.compile(r" (?=\S)")
 _RUNS = re.compile(r" (?:\s|\Z)")
+_START = re.compile(r"(?<!\s) (?=\S)")
 
 
 def byte_letters() -> dict[str, int]:
@@ -62,14 +67,52 @@ class Vocabulary:
         pairs = (m if isinstance(m, list) else m.split(" ") for m in spec["model"]["merges"])
         ranks: dict[tuple[int, int], int] = {}
         self.made: list[int] = []
-        for rank, (a, b) in enumerate(pairs):
+        self.parts = [tuple(p) for p in pairs]
+        for rank, (a, b) in enumerate(self.parts):
             ranks.setdefault((ids[a], ids[b]), rank)
             self.made.append(ids[a + b])
         self.rank_of = ranks.get
         self.added = {t["content"]: t["id"] for t in spec["added_tokens"]}
         for text, i in self.added.items():
             self.bytes_of[i] = text.encode()
-        self.lookahead = max(len(b) for i, b in self.bytes_of.items() if i not in self.added.values())
+        self.lookahead = sufficient_lookahead([(ids[a], ids[b], ids[a + b]) for a, b in self.parts], {i: len(b) for i, b in self.bytes_of.items()})
+
+
+def sufficient_lookahead(merges: list[tuple[int, int, int]], length: dict[int, int]) -> int:
+    """How many bytes after a place settle, whatever comes later, whether the encoding has a boundary there.
+
+    `merges` has (left, right, whole) in the order of rank. Let D(r) be how many bytes after its end decide whether merge
+    r = (u, v) is applied at a place. By induction over ranks it depends on nothing else than: whether u and v are made there
+    (ranks smaller than r), and whether a merge of a smaller rank takes one of them before: (v, x) or (u, x), which end len(x)
+    after v or u, or (w, v) or (w, u), which end with v or u. Distances from the end of u shrink by len(v). A
+    boundary goes only by a merge (s, x) with s before and x after it, so the greatest len(x) + D(s, x) is sufficient.
+    """
+    from bisect import bisect_left
+
+    makes: dict[int, int] = {}  # greatest D of the merges that make a token
+    rights: dict[int, tuple[list[int], list[int]]] = {}  # of merges (s, x) by s: ranks, and the running greatest len(x) + D
+    lefts: dict[int, tuple[list[int], list[int]]] = {}  # of merges (w, s) by s: ranks, and the running greatest D
+    enough = 0
+
+    def most(table: dict[int, tuple[list[int], list[int]]], s: int, rank: int) -> int:
+        ranks, top = table.get(s, ((), ()))
+        at = bisect_left(ranks, rank)
+        return top[at - 1] if at else 0
+
+    def note(table: dict[int, tuple[list[int], list[int]]], s: int, rank: int, value: int) -> None:
+        ranks, top = table.setdefault(s, ([], []))
+        ranks.append(rank)
+        top.append(max(value, top[-1]) if top else value)
+
+    for r, (u, v, whole) in enumerate(merges):
+        of_v = max(makes.get(v, 0), most(rights, v, r), most(lefts, v, r))
+        of_u = max(makes.get(u, 0), most(rights, u, r), most(lefts, u, r))
+        far = max(of_v, of_u - length[v])
+        makes[whole] = max(makes.get(whole, 0), far)
+        note(rights, u, r, length[v] + far)
+        note(lefts, v, r, far)
+        enough = max(enough, length[v] + far)
+    return enough
 
 
 def _packed(kind: str, ids: list[int]) -> array:
@@ -85,13 +128,22 @@ class Transducer:
     def __init__(self, vocabulary: Vocabulary):
         self.v = vocabulary
         self.first = [vocabulary.id_of[bytes([c])] for c in range(256)]
-        self.fits: dict[tuple[int, int], bool] = {}
-        #: Tokens that the merges can make, by their last byte's longer forms: bytes -> id.
+        self.fits: dict[int, bool] = {}
+        #: Tokens that the merges can make.
         self.real = {b: i for b, i in vocabulary.id_of.items() if self.merged(b) == [i]}
+        self.length = {i: len(b) for b, i in self.real.items()}
         self.longest = max(map(len, self.real), default=1)
+        #: Lengths of tokens of three bytes and more by their last three bytes, the longest first.
+        ends: dict[bytes, set[int]] = {}
+        for b in self.real:
+            if len(b) > 2:
+                ends.setdefault(b[-3:], set()).add(len(b))
+        self.ends = {k: (*sorted(v, reverse=True), 2, 1) for k, v in ends.items()}
+        #: The most prefixes that were held at once.
+        self.held_most = 0
 
     def merged(self, piece: bytes) -> list[int]:
-        """The encoding of a short piece by the merge list itself: the best-ranked, leftmost pair first."""
+        """The encoding of the bytes of one or two tokens by the merge list itself: the best-ranked, leftmost pair first."""
         rank_of, made = self.v.rank_of, self.v.made
         ids = [self.first[c] for c in piece]
         ranks = [rank_of(pair, _NEVER) for pair in zip(ids, ids[1:])]
@@ -107,53 +159,53 @@ class Transducer:
 
     def compatible(self, a: int, b: int) -> bool:
         """Whether tokens a, b stay apart when their bytes are encoded together."""
-        key = (a, b)
+        key = a << 20 | b
         found = self.fits.get(key)
         if found is None:
-            if len(self.fits) > 2_000_000:
+            if len(self.fits) > _FITS_KEPT:
                 self.fits.clear()
             found = self.fits[key] = self.merged(self.v.bytes_of[a] + self.v.bytes_of[b]) == [a, b]
         return found
 
-    def stream(self, chunks: Iterator[bytes]) -> Iterator[int]:
-        """Token ids of one pre-token that comes in chunks of bytes."""
-        real, longest = self.real, self.longest
-        # last[i]: the last token of the encoding of the first `base + i` bytes.
-        last: list[int] = [-1]
-        held, length = b"", self.v.bytes_of
+    def stream(self, chunks: Iterable[bytes]) -> Iterator[int]:
+        """Token ids of one pre-token that comes in chunks of bytes, each id as soon as a chunk makes it stable."""
+        real, length, ends, compatible = self.real, self.length, self.ends, self.compatible
+        # last[i]: the last token of the encoding up to the i-th byte after the stable point.
+        held, last, before = b"", [-1], -1
         for chunk in chunks:
-            for k in range(len(chunk)):
-                held += chunk[k : k + 1]
-                n = len(held)
-                for size in range(min(longest, n), 0, -1):
-                    token = real.get(held[n - size :])
-                    if token is not None and (n == size and last[0] == -1 or self.compatible(last[n - size], token)):
-                        last.append(token)
-                        break
-                if n >= 4 * longest:
-                    # The chains of the prefixes that a later token can start from meet at `stable`.
-                    ends = set(range(n - longest + 1, n + 1))
-                    while len(ends) > 1:
-                        far = max(ends)
-                        ends.discard(far)
-                        ends.add(far - len(length[last[far]]))
-                    stable = ends.pop()
-                    if stable > 0:
-                        out, at = [], stable
-                        while at > 0:
-                            out.append(last[at])
-                            at -= len(length[last[at]])
-                        yield from reversed(out)
-                        held, last = held[stable:], last[stable:]
-        out, at = [], len(held)
+            at = len(held)
+            held += chunk
+            for n in range(at + 1, len(held) + 1):
+                for size in ends.get(held[n - 3 : n], (2, 1)) if n > 2 else (2, 1):
+                    if size <= n:
+                        token = real.get(held[n - size : n])
+                        if token is not None:
+                            left = last[n - size] if n > size else before
+                            if left < 0 or compatible(left, token):
+                                last.append(token)
+                                break
+            n = len(held)
+            self.held_most = max(self.held_most, n)
+            # Boundaries of this prefix's encoding that are `lookahead` bytes old stay, whatever comes.
+            stable = n
+            while stable > max(0, n - self.v.lookahead):
+                stable -= length[last[stable]]
+            if stable > 0:
+                yield from self._chain(last, stable)
+                before = last[stable]
+                held, last = held[stable:], last[stable:]
+        yield from self._chain(last, len(held))
+
+    def _chain(self, last: list[int], at: int) -> list[int]:
+        out = []
         while at > 0:
             out.append(last[at])
-            at -= len(length[last[at]])
-        yield from reversed(out)
+            at -= self.length[last[at]]
+        return out[::-1]
 
     def encode(self, piece: bytes) -> list[int]:
-        """Token ids of a whole pre-token. One that ends within the lookahead is encoded when it ends."""
-        return self.merged(piece) if len(piece) <= self.v.lookahead else list(self.stream(iter((piece,))))
+        """Token ids of a whole pre-token."""
+        return list(self.stream((piece,) if len(piece) <= CHUNK else (piece[i : i + CHUNK] for i in range(0, len(piece), CHUNK))))
 
 
 class Encoder:
@@ -170,7 +222,8 @@ class Encoder:
     def unit(self, text: str) -> bytes:
         """Ids of a text that starts and ends where pre-tokens do."""
         out = []
-        for piece in self.pattern.findall(text):
+        for m in self.pattern.finditer(text):
+            piece = m[0]
             found = self.tokens.get(piece)
             if found is None:
                 found = _packed("I", self.transducer.encode(piece.encode("utf-8", "surrogatepass"))).tobytes()
@@ -181,8 +234,18 @@ class Encoder:
             out.append(found)
         return b"".join(out)
 
+    def windows(self, text: str, at: int, end: int) -> Iterator[str]:
+        """The parts of text[at:end], of WINDOW characters and what follows up to a place where a pre-token starts."""
+        while end - at > WINDOW:
+            start = _START.search(text, at + WINDOW, end)
+            if start is None:
+                break
+            yield text[at : start.start()]
+            at = start.start()
+        yield text[at:end]
+
     def plain(self, text: str) -> bytes:
-        """Ids of a text without special tokens. A space before a character that is none starts a unit."""
+        """Ids of a window of text without special tokens. A space before a character that is none starts a unit."""
         units = self.units
         if _RUNS.search(text):
             parts = _PLAIN.split(text)
@@ -203,19 +266,19 @@ class Encoder:
             out.append(found)
         return b"".join(out)
 
-    def __call__(self, text: str | None) -> bytes:
-        text = text or ""
-        if self.cut is None or not any(a in text for a in self.added):
-            return self.plain(text) if text else b""
-        out, at = [], 0
-        for m in self.cut.finditer(text):
+    def pieces(self, text: str | None) -> Iterator[bytes]:
+        """Ids of a text, part by part."""
+        text, at = text or "", 0
+        for m in self.cut.finditer(text) if self.cut else ():
             if m.start() > at:
-                out.append(self.plain(text[at : m.start()]))
-            out.append(_packed("I", [self.added[m[0]]]).tobytes())
+                yield from map(self.plain, self.windows(text, at, m.start()))
+            yield _packed("I", [self.added[m[0]]]).tobytes()
             at = m.end()
         if at < len(text):
-            out.append(self.plain(text[at:]))
-        return b"".join(out)
+            yield from map(self.plain, self.windows(text, at, len(text)))
+
+    def __call__(self, text: str | None) -> bytes:
+        return b"".join(self.pieces(text))
 
 
 class Decoder:
@@ -224,12 +287,14 @@ class Decoder:
     def __init__(self, vocabulary: Vocabulary):
         self.table = [vocabulary.bytes_of.get(i, b"") for i in range(max(vocabulary.bytes_of) + 1)]
 
-    def pieces(self, ids: bytes) -> Iterator[str]:
+    def pieces(self, parts: Iterable[bytes]) -> Iterator[str]:
+        """The text of ids that come in parts, each a whole number of ids."""
         machine = codecs.getincrementaldecoder("utf-8")("replace")
         get = self.table.__getitem__
-        numbers = np.frombuffer(ids, "<u4")
-        for i in range(0, len(numbers), _DECODED):
-            yield machine.decode(b"".join(map(get, numbers[i : i + _DECODED].tolist())))
+        for part in parts:
+            numbers = np.frombuffer(part, "<u4")
+            for i in range(0, len(numbers), _DECODED):
+                yield machine.decode(b"".join(map(get, numbers[i : i + _DECODED].tolist())))
         yield machine.decode(b"", final=True)
 
 
@@ -244,32 +309,52 @@ def _mapped(docs: DataFrame, path: str, columns: list[str], schema: str, make) -
     return docs.select(*columns, "text").mapInPandas(run, schema)
 
 
+def _through(text: str | None, encoder: Encoder, decoder: Decoder, take) -> tuple[int, str]:
+    """The number of ids of a text and the sha256 of their decoding; each part of the ids goes to `take` and on to the decoder."""
+    n, h = 0, hashlib.sha256()
+
+    def parts() -> Iterator[bytes]:
+        nonlocal n
+        for part in encoder.pieces(text):
+            n += len(part) // 4
+            take(part)
+            yield part
+
+    for piece in decoder.pieces(parts()):
+        h.update(piece.encode("utf-8", "surrogatepass"))
+    return n, h.hexdigest()
+
+
 def digest(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 and decoded_sha256 of every row."""
 
     def make(batch: pd.DataFrame, encoder: Encoder, decoder: Decoder) -> pd.DataFrame:
         n, ids, texts = [], [], []
         for text in batch["text"]:
-            packed = encoder(text)
-            n.append(len(packed) // 4)
-            ids.append(hashlib.sha256(packed).hexdigest())
             h = hashlib.sha256()
-            for piece in decoder.pieces(packed):
-                h.update(piece.encode("utf-8", "surrogatepass"))
-            texts.append(h.hexdigest())
+            count, decoded = _through(text, encoder, decoder, h.update)
+            n.append(count)
+            ids.append(h.hexdigest())
+            texts.append(decoded)
         return pd.DataFrame({"doc_id": batch["doc_id"], "n_tokens": n, "ids_sha256": ids, "decoded_sha256": texts})
 
     return _mapped(docs, path, ["doc_id"], "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string", make)
 
 
 def encoded(docs: DataFrame, path: str) -> DataFrame:
-    """doc_id, n_tokens and ids (little-endian unsigned 32-bit numbers) of every row."""
+    """doc_id, n_tokens, ids (little-endian unsigned 32-bit numbers) and decoded_sha256 of every row."""
 
     def make(batch: pd.DataFrame, encoder: Encoder, decoder: Decoder) -> pd.DataFrame:
-        ids = [encoder(t) for t in batch["text"]]
-        return pd.DataFrame({"doc_id": batch["doc_id"], "n_tokens": [len(x) // 4 for x in ids], "ids": ids})
+        n, ids, texts = [], [], []
+        for text in batch["text"]:
+            parts: list[bytes] = []
+            count, decoded = _through(text, encoder, decoder, parts.append)
+            n.append(count)
+            ids.append(b"".join(parts))
+            texts.append(decoded)
+        return pd.DataFrame({"doc_id": batch["doc_id"], "n_tokens": n, "ids": ids, "decoded_sha256": texts})
 
-    return _mapped(docs, path, ["doc_id"], "doc_id long, n_tokens long, ids binary", make)
+    return _mapped(docs, path, ["doc_id"], "doc_id long, n_tokens long, ids binary, decoded_sha256 string", make)
 
 
 def decoded(rows: DataFrame, path: str) -> DataFrame:
@@ -279,6 +364,6 @@ def decoded(rows: DataFrame, path: str) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         decoder = Decoder(shared.value)
         for batch in batches:
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "text": ["".join(decoder.pieces(x or b"")) for x in batch["ids"]]})
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "text": ["".join(decoder.pieces((x or b"",))) for x in batch["ids"]]})
 
     return rows.select("doc_id", "ids").mapInPandas(run, "doc_id long, text string")
