@@ -9,8 +9,8 @@ the shards are halved again and again and each half's share of every source's qu
 multivariate hypergeometric distribution, so that all quotas are met exactly. Each shard then
 takes the next blocks of each source, disjoint by construction, and is shuffled by itself.
 
-What is brought to the driver is one row per source (totals); all per-row work stays distributed
-and no task holds a whole source.
+What is brought to the driver is one row per source (totals, and as many numbers as there are shards); all per-row
+work stays distributed and no task holds a whole source. Output groups are sized by the words of the mix.
 
 Cases: null text has no words; null source is a source of its own, after all others; sources
 without words have target 0; repeated rows and doc_ids are rows like others; an empty table
@@ -28,6 +28,8 @@ from crestline.llm.common import key_of, text_of, words_of
 
 WEIGHTS, CEILING = (5, 2, 1), 3
 SEED, SHARDS = 20260101, 16
+#: Words of a group of rows that `mix` shuffles by itself.
+GROUP_WORDS = 4_000_000
 _BITS = 12
 
 
@@ -169,18 +171,23 @@ def planned(docs: DataFrame, carried: list[str], shards: int = SHARDS, seed: int
 
 
 def digest(docs: DataFrame, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
-    """doc_id, size, source_size, target and taken of every row."""
+    """doc_id, size, source_size, target, taken and shards (the output shard of each copy) of every row."""
     m = F.col("_mix")
     return planned(docs, ["doc_id"], shards, seed).select(
         "doc_id", m["size"].alias("size"), m["source_size"].alias("source_size"), m["target"].alias("target"),
-        (m["size"] * m["copies"]).cast("long").alias("taken"),
+        (m["size"] * m["copies"]).cast("long").alias("taken"), m["shards"].alias("shards"),
     )
 
 
 def mix(docs: DataFrame, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
-    """The rows of the mix, with the columns of `docs`, dealt to output shards and shuffled in each."""
-    chosen = planned(docs, docs.columns, shards, seed).select(
-        F.struct(*docs.columns).alias("_row"), F.posexplode("_mix.shards").alias("_copy", "_shard")
-    )
+    """The rows of the mix, with the columns of `docs`, dealt to output shards and shuffled in each.
+
+    A shard's rows stand in as many groups as it has GROUP_WORDS words, each shuffled by itself.
+    """
+    whole = planned(docs, docs.columns, shards, seed)
+    words = sum(r["w"] or 0 for r in docs.agg(F.sum(F.size(words_of(text_of())).cast("long")).alias("w")).collect())
+    groups = 1 + words // (shards * GROUP_WORDS)
+    chosen = whole.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.posexplode("_mix.shards").alias("_copy", "_shard"))
     local = F.xxhash64(F.lit(seed + 1), F.col("_row.doc_id"), "_copy")
-    return chosen.repartition("_shard", F.pmod(local, F.lit(64))).sortWithinPartitions("_shard", local).select("_row.*")
+    group = F.pmod(local, F.lit(groups))
+    return chosen.repartition(shards * groups, "_shard", group).sortWithinPartitions("_shard", local).select("_row.*")

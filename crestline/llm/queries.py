@@ -75,16 +75,21 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in own}
 
 
-_CHAT_SQL = """
+_CHAT_SQL = r"""
 WITH said AS (
   SELECT conv_id, turn, CASE WHEN trim(coalesce(role, '')) = '' THEN 'unknown' ELSE role END AS name, coalesce(text, '') AS text
   FROM conversations
-), who AS (SELECT DISTINCT conv_id AS c, name AS speaker FROM said WHERE name <> 'system'),
+), who AS (SELECT DISTINCT conv_id AS c, name AS speaker FROM said WHERE name <> 'system' AND conv_id IS NOT NULL),
 seen AS (
-  SELECT s.*, w.speaker, CASE WHEN s.name = 'system' THEN 'system' WHEN s.name = w.speaker THEN 'assistant' ELSE 'user' END AS seat
-  FROM said s JOIN who w ON s.conv_id IS NOT DISTINCT FROM w.c
+  SELECT s.*, w.speaker FROM said s JOIN who w ON s.conv_id = w.c
+  UNION ALL SELECT *, name FROM said WHERE conv_id IS NULL AND name <> 'system'
+), seated AS (
+  SELECT conv_id, turn, name, speaker, replace(text, '<|', '<\|') AS text,
+    CASE WHEN name = 'system' THEN 'system' WHEN name = speaker THEN 'assistant' ELSE 'user' END AS seat
+  FROM seen
 ), headed AS (
-  SELECT *, '<|im_start|>' || seat || CASE WHEN seat = 'user' THEN ' name=' || name ELSE '' END || chr(10) AS head FROM seen
+  SELECT *, '<|im_start|>' || seat || CASE WHEN seat = 'user' THEN ' name=' || translate(replace(name, '<|', '<\|'), chr(10) || chr(13), '  ') ELSE '' END || chr(10) AS head
+  FROM seated
 )
 SELECT conv_id, speaker, turn, seat, name, head || text || '<|im_end|>' || chr(10) AS segment, name = speaker AS learned,
   length(head)::BIGINT AS span_start,
