@@ -1,32 +1,37 @@
 """Quality rules whose cutoffs are certified on labelled holdouts.
 
 A document fails a rule if a measure of it lies above a cutoff. Cutoffs are picked per stratum
-(the document's `lang`) from a fixed grid: a cutoff is admissible if the exact binomial test on
-the stratum's labelled good documents rejects "more than `risk` of the good documents are lost"
-at level `delta` divided by the number of all tests (Bonferroni over strata, measures and
-cutoffs). Of the admissible cutoffs the one that catches most labelled bad documents wins, then
+(the document's `lang`) from a fixed grid. A measure's cutoffs are tested in a fixed sequence, from the highest down,
+each by the exact binomial test on the stratum's labelled good documents of "more than `risk` of the good documents are
+lost", up to the first that isn't rejected; those before it are admissible. A fixed sequence needs no correction for
+its length, so the level is `delta` divided by the number of sequences (Bonferroni over strata and measures). (A
+lower cutoff loses at least as many, so its bound is never better, and the sequence ends where the test first fails.)
+Of the admissible cutoffs the one that catches most labelled bad documents wins, then
 the one that loses fewest good ones, then the highest. A rule without an admissible cutoff is off in
-that stratum, so strata with few labels lose nothing.
+that stratum: with no good document lost, a stratum needs log(delta / tests) / log(1 - risk) labelled good
+documents, 297 for four strata.
 
 Everything is built from DataFrame functions.
 
 Cases: null text is the empty text (no words, base rules fail, not kept); a null or rare stratum
-has no cutoffs, so only the base rules act; repeated rows are judged alike, each on its own; an
+has no cutoffs, so only the base rules act; very long texts are one row's work; labels that contradict one another count
+as none, repeated ones once; repeated rows are judged alike, each on its own; an
 empty table gives an empty result; further columns pass through `judged` and never take part, and a
 further column that bears the name of an output is replaced by it.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from crestline.llm.common import computed_once, text_of, words_of
+from crestline.llm.common import computed_once, cut, settled, text_of, words_of
 
 #: The symbols counted and the least number of words.
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
+#: The greatest share of good documents a rule may lose in a stratum, and the chance that any rule loses more.
+RISK, DELTA = 0.02, 0.05
 #: Cutoffs tried for each measure.
 GRID = {
     "symbol_share": [0.01, 0.02, 0.04, 0.06, 0.1, 0.2, 0.3],
@@ -147,13 +152,13 @@ def _binomial_cdf(k: Column, n: Column, p: float) -> Column:
     )
 
 
-def certified(measures: DataFrame, labels: DataFrame, risk: float = 0.005, delta: float = 0.05) -> DataFrame:
+def certified(measures: DataFrame, labels: DataFrame, risk: float = RISK, delta: float = DELTA) -> DataFrame:
     """One row (stratum, measure, cutoff, lost, good, caught) for each rule that is on.
 
     `measures` is the result of `measured` with a `lang` column, `labels` has doc_id and quality. Documents that
     fail the base rules and rows without stratum, label or doc_id take no part. Every stratum is tested.
     """
-    labelled = labels.select("doc_id", F.col("quality").cast("int").alias("_q")).where("_q in (0, 1) and doc_id is not null").dropDuplicates(["doc_id"])
+    labelled = settled(labels, "quality").withColumnRenamed("quality", "_q")
     held = (
         measures.where(~F.col("base_failed") & F.col("lang").isNotNull())
         .select("doc_id", F.col("lang").alias("stratum"), *[v.alias(k) for k, v in _measures().items()])
@@ -168,11 +173,10 @@ def certified(measures: DataFrame, labels: DataFrame, risk: float = 0.005, delta
         F.struct(F.lit(m).alias("measure"), F.lit(float(c)).alias("cutoff"), F.col(f"{m}|{i}|0").alias("caught"), F.col(f"{m}|{i}|1").alias("lost"))
         for m, cs in GRID.items() for i, c in enumerate(cs)
     ])
-    per_stratum = sum(map(len, GRID.values()))
     strata = F.count("*").over(Window.partitionBy(F.lit(1)))
     rows = table.withColumn("strata", strata).select("stratum", "good", "strata", F.inline(tried))
     tail = _binomial_cdf(F.col("lost"), F.col("good"), risk)
-    rows = rows.where((tail <= F.lit(delta) / (F.col("strata") * per_stratum)) & (F.col("caught") > 0))
+    rows = rows.where((tail <= F.lit(delta) / (F.col("strata") * len(GRID))) & (F.col("caught") > 0))
     best = F.max_by(F.struct("cutoff", "caught", "lost", "good"), F.struct("caught", -F.col("lost"), "cutoff"))
     return rows.groupBy("stratum", "measure").agg(best.alias("b")).select("stratum", "measure", "b.*")
 
@@ -193,21 +197,18 @@ def judged(measures: DataFrame, rules: DataFrame) -> DataFrame:
     passes = F.lit(True)
     for name, column in _measures().items():
         passes = passes & ~F.coalesce(column > F.col(f"_cut_{name}"), F.lit(False))
-    joined = measures.join(F.broadcast(table), F.col("lang") == F.col("_stratum"), "left")
+    joined = measures.join(table, F.col("lang") == F.col("_stratum"), "left")
     return joined.withColumn("kept", ~F.col("base_failed") & passes).drop("_stratum", *[f"_cut_{m}" for m in names])
 
 
-def scan(docs: DataFrame, labels: DataFrame, risk: float = 0.005, delta: float = 0.05) -> DataFrame:
+def scan(docs: DataFrame, labels: DataFrame, risk: float = RISK, delta: float = DELTA) -> DataFrame:
     """doc_id, COUNTS, base_failed and kept of every row of `docs` (doc_id, text, lang)."""
-    rows = measured(docs.select("doc_id", "lang", "text")).drop("text").persist(StorageLevel.MEMORY_AND_DISK)
+    rows = cut(measured(docs.select("doc_id", "lang", "text")).drop("text"))
     return judged(rows, certified(rows, labels, risk, delta)).select("doc_id", *COUNTS, "base_failed", "kept")
 
 
-def keep(docs: DataFrame, labels: DataFrame, risk: float = 0.005, delta: float = 0.05) -> DataFrame:
-    """The rows of `docs` that the rules keep, with the columns of `docs`."""
-    rows = measured(docs.select("doc_id", "lang", "text")).drop("text").persist(StorageLevel.MEMORY_AND_DISK)
-    rules = certified(rows, labels, risk, delta).collect()
-    rows.unpersist()
-    table = docs.sparkSession.createDataFrame(rules, "stratum string, measure string, cutoff double, caught long, lost long, good long")
-    carried = docs.select(F.struct(*docs.columns).alias("_row"), "lang", "text")
-    return judged(measured(carried), table).where("kept").select("_row.*")
+def keep(docs: DataFrame, labels: DataFrame, risk: float = RISK, delta: float = DELTA) -> DataFrame:
+    """The rows of `docs` that the rules keep, with the columns of `docs`; each text is measured once, and stored with its measures."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = cut(measured(docs.select(row.alias("_row"), "doc_id", "lang", "text")).drop("text"))
+    return judged(rows, certified(rows, labels, risk, delta)).where("kept").select("_row.*")

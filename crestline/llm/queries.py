@@ -122,18 +122,19 @@ m AS (
     word_chars / greatest(n_words, 1) AS mean_word
   FROM m
 ), u AS (SELECT doc_id, lang, base_failed, measure, value FROM b UNPIVOT (value FOR measure IN (symbol_share, repeat_share, dup_line_share, caps_share, mean_word))),
-held AS (SELECT u.*, quality FROM u JOIN labels USING (doc_id) WHERE NOT base_failed AND lang IS NOT NULL AND quality IN (0, 1)),
+sure AS (SELECT doc_id, min(quality) AS quality FROM labels WHERE quality IN (0, 1) GROUP BY doc_id HAVING min(quality) = max(quality)),
+held AS (SELECT u.*, quality FROM u JOIN sure USING (doc_id) WHERE NOT base_failed AND lang IS NOT NULL),
 tried AS (
   SELECT lang, h.measure, cutoff, count(*) FILTER (quality = 1) AS good, count(*) FILTER (quality = 1 AND value > cutoff) AS lost,
     count(*) FILTER (quality = 0 AND value > cutoff) AS caught
   FROM held h JOIN (VALUES {_RULES_SQL_GRID}) g(measure, cutoff) ON h.measure = g.measure GROUP BY ALL
 ), tested AS (
-  SELECT *, CASE WHEN lost > good * 0.005 THEN 1.0 ELSE list_sum(list_transform(range(0, lost + 1), lambda i:
-    exp(lgamma(good + 1) - lgamma(i + 1) - lgamma(good - i + 1) + i * ln(0.005) + (good - i) * ln(0.995)))) END AS tail,
+  SELECT *, CASE WHEN lost > good * {quality_rules.RISK} THEN 1.0 ELSE list_sum(list_transform(range(0, lost + 1), lambda i:
+    exp(lgamma(good + 1) - lgamma(i + 1) - lgamma(good - i + 1) + i * ln({quality_rules.RISK}) + (good - i) * ln(1 - {quality_rules.RISK})))) END AS tail,
     (SELECT count(DISTINCT lang) FROM held) AS strata
   FROM tried WHERE good > 0
 ), best AS (
-  SELECT lang, measure, cutoff FROM tested WHERE tail <= 0.05 / (strata * {sum(map(len, quality_rules.GRID.values()))}) AND caught > 0
+  SELECT lang, measure, cutoff FROM tested WHERE tail <= {quality_rules.DELTA} / (strata * {len(quality_rules.GRID)}) AND caught > 0
   QUALIFY row_number() OVER (PARTITION BY lang, measure ORDER BY caught DESC, lost, cutoff DESC) = 1
 ), bad AS (SELECT DISTINCT u.doc_id FROM u JOIN best ON u.lang = best.lang AND u.measure = best.measure WHERE value > cutoff)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
