@@ -1,20 +1,27 @@
 """License scans: TF-IDF cosine to licence templates, then inheritance along directories.
 
-Lines of a text that hold one of KEYS are its header statements. Each gets the cosine between its TF-IDF
-vector and those of the templates; the best of a text decides if it reaches `line_score`. Document
-frequencies of the templates' terms are counted over all documents; a term no template has weighs
-as one seen nowhere. A row is a licence file if its file name is one of FILE_NAMES or its whole
-text reaches `file_score`, and speaks for its directory. Rows without a licence of their own take
+A text's statements are its lines, its paragraphs, its leading comment block, and the whole of it. Each gets the cosine
+between its TF-IDF vector (1 + ln count, times the inverse document frequency) and those of the templates; document
+frequencies of the templates' terms are counted over all documents, and a term no template has weighs as one seen nowhere.
+The whole text decides if it reaches `file_score`, then the leading comments if they do, then the best line or
+paragraph if it reaches `line_score`. A row is a licence file if its file name is one of FILE_NAMES and its text says a
+licence, or if its whole text is one, and speaks for its directory. Rows without a licence of their own take
 that of the nearest directory above them that has one, by joins on paths. A notice of reserved rights
 (RESERVED) is a licence of its own, so its row inherits nothing; it yields to any grant the text states.
 
+Most lines need no cosine. By the Cauchy-Schwarz inequality a statement's cosine to a template is at most the length of the
+template's unit vector over the terms they share; so what has terms whose squared weights, each the greatest of any
+template, add up to less than `line_score` squared can reach no template. That is asked of a document first, then
+of its lines. The bound leaves out nothing that could score.
+
 Everything is built from DataFrame functions; vectors are sparse and local to a row, so no text
-is shuffled. The templates are a fixed list, so what each row is held against is bounded.
+is shuffled. The templates are a fixed list, so what each row is held against is bounded. Directories with many rows are
+dealt to many tasks.
 
-Cases: null text has no licence; null path has no directory and inherits nothing; between equally
-good templates the first by name wins, between licence files of one directory the best score, then
-the first by name; repeated rows are judged alike; an empty table gives an empty result; further columns
-are ignored.
+Cases: null text has no licence; null path has no directory and inherits nothing; very long texts are one row's work;
+between equally good templates the first by name wins, between statements of one text the highest score, then the last
+name, between licence files of one directory the best score, then the first by name; repeated rows are judged alike;
+an empty table gives an empty result; further columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -23,35 +30,19 @@ import math
 import re
 from collections import Counter
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from crestline.llm.common import computed_once, text_of
-
-#: The licence of a text that grants nothing.
-RESERVED = "All-Rights-Reserved"
-#: Short notices of public licences, and of none.
-TEMPLATES = {
-    RESERVED: "All rights reserved.",
-    "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
-    "BSD-3-Clause": "Redistribution and use in source and binary forms, with or without modification, are permitted under the BSD 3-Clause License.",
-    "CC-BY-4.0": "Licensed under CC BY 4.0.",
-    "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
-    "CC-BY-SA-4.0": "Licensed under CC BY-SA 4.0.",
-    "GPL-2.0": "This work is licensed under the GNU General Public License, version 2.",
-    "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
-    "LGPL-3.0": "This work is licensed under the GNU Lesser General Public License, version 3.",
-    "MIT": "Released under the MIT License.",
-    "MPL-2.0": "This source code form is subject to the terms of the Mozilla Public License, version 2.0.",
-}
-#: What a header statement has, and the names of licence files.
-KEYS = ["licen[cs]e", "copyright", "spdx", "redistribut", "copyleft", "all rights reserved", "creative commons", "public domain"]
-FILE_NAMES = ["license", "licence", "copying", "notice", "copyright"]
-LINE_SCORE, FILE_SCORE = 0.5, 0.9
+from crestline.llm.common import computed_once, cut, hot_keys, joined, text_of
+from crestline.llm.licence_texts import RESERVED, templates
+
+#: The names of licence files, and how comment lines start.
+FILE_NAMES = ["license", "licence", "copying", "notice", "copyright", "unlicense"]
+COMMENT = r"\A(?:[ \t]*(?:#|//|/?\*|--|;|%)[^\n]*(?:\n|\z)|[ \t]*\n)+"
+LINE_SCORE, FILE_SCORE = 0.6, 0.9
 TERM = r"[^a-z0-9+.-]+"
-#: Parts into which the rows of a directory are dealt for the join with what they inherit.
-SALTS = 32
+#: What stands between paragraphs: a line without letters or digits.
+_GAP = r"\n[^a-zA-Z0-9\n]*\n"
 
 
 def terms(text: str) -> list[str]:
@@ -60,71 +51,78 @@ def terms(text: str) -> list[str]:
 
 def terms_of(text: Column) -> Column:
     """The terms of a text, as `terms` has them."""
-    parts = F.transform(F.split(F.lower(text), TERM), lambda x: F.regexp_replace(x, r"^[.-]+|[.-]+$", ""))
+    parts = F.transform(F.split(F.lower(text), TERM), lambda x: F.when(x.rlike(r"^[.-]|[.-]$"), F.regexp_replace(x, r"^[.-]+|[.-]+$", "")).otherwise(x))
     return F.array_remove(parts, "")
 
 
-VOCABULARY = sorted({t for x in TEMPLATES.values() for t in terms(x)})
+TEMPLATES = [(k, terms(t)) for k, t in templates()]
+NAMES = sorted({k for k, _ in TEMPLATES})
+VOCABULARY = sorted({t for _, ts in TEMPLATES for t in ts})
 
 
 def frequencies(docs: DataFrame) -> tuple[int, dict[str, int]]:
     """The number of documents, and of those that have each term of VOCABULARY: a bounded number of rows."""
-    known = F.lit(VOCABULARY)
-    rough = F.array_distinct(F.split(F.lower(text_of()), TERM))
-    trimmed = F.transform(rough, lambda x: F.when(x.endswith(".") | x.startswith(".") | x.endswith("-") | x.startswith("-"), F.regexp_replace(x, r"^[.-]+|[.-]+$", "")).otherwise(x))
-    rows = docs.select(F.explode_outer(F.array_intersect(trimmed, known)).alias("term"), F.lit(1).alias("one"))
-    n = docs.count()
-    return n, {r["term"]: r["n"] for r in rows.where("term is not null").groupBy("term").agg(F.count("*").alias("n")).collect()}
+    found = F.filter(F.array_distinct(terms_of(text_of())), lambda t: t.isin(VOCABULARY))
+    # The empty term stands for the document itself.
+    rows = docs.select(F.explode(F.concat(found, F.array(F.lit("")))).alias("term")).groupBy("term").agg(F.count("*").alias("n"))
+    counts = {r["term"]: r["n"] for r in rows.collect()}
+    return counts.pop("", 0), counts
 
 
-def weights(n: int, df: dict[str, int]) -> tuple[dict[str, float], float, dict[str, dict[str, float]]]:
+def weights(n: int, df: dict[str, int]) -> tuple[dict[str, float], float, list[dict[str, float]]]:
     """Inverse document frequencies, that of a term seen nowhere, and the templates' unit vectors."""
     idf = {t: math.log((1 + n) / (1 + df.get(t, 0))) + 1 for t in VOCABULARY}
-    unit = {}
-    for name, text in sorted(TEMPLATES.items()):
-        v = {t: c * idf[t] for t, c in Counter(terms(text)).items()}
+    unit = []
+    for _, ts in TEMPLATES:
+        v = {t: (1 + math.log(c)) * idf[t] for t, c in Counter(ts).items()}
         length = math.sqrt(sum(x * x for x in v.values()))
-        unit[name] = {t: x / length for t, x in v.items()}
+        unit.append({t: x / length for t, x in v.items()})
     return idf, math.log(1 + n) + 1, unit
 
 
-def _stats(found: Column) -> Column:
-    """Of an array of terms: (place, count) of those in VOCABULARY, and the sum of squared counts of the others."""
-    vocabulary = F.lit(VOCABULARY)
+def _constant(values: list, kind: str) -> Column:
+    """A constant array, whatever its length."""
+    return F.split(F.lit(" ".join(map(repr if kind == "double" else str, values))), " ").cast(f"array<{kind}>")
+
+
+def _stats(found: Column, places: Column) -> Column:
+    """Of an array of terms: (place, weight of the count) of those in VOCABULARY, and the sum of squared weights of the others."""
     known = F.transform(
-        F.array_intersect(found, vocabulary),
-        lambda t: F.struct(F.array_position(vocabulary, t).cast("int").alias("at"), F.size(F.filter(found, lambda u: u == t)).cast("double").alias("tf")),
+        F.array_distinct(F.filter(found, lambda t: t.isin(VOCABULARY))),
+        lambda t: F.struct(F.array_position(places, t).cast("int").alias("at"), (1 + F.log(F.size(F.filter(found, lambda u: u == t)))).alias("tf")),
     )
     start = F.struct(F.lit("").alias("term"), F.lit(0.0).alias("run"), F.lit(0.0).alias("sum"))
+    square = lambda run: F.pow(1 + F.log(run), F.lit(2.0))
     others = F.aggregate(
-        F.array_sort(F.filter(found, lambda t: ~F.array_contains(vocabulary, t))),
+        F.array_sort(F.filter(found, lambda t: ~t.isin(VOCABULARY))),
         start,
         lambda acc, t: F.struct(
             t.alias("term"),
             F.when(t == acc["term"], acc["run"] + 1).otherwise(1.0).alias("run"),
-            (acc["sum"] + F.when(t == acc["term"], 2 * acc["run"] + 1).otherwise(1.0)).alias("sum"),
+            (acc["sum"] + F.when(t == acc["term"], square(acc["run"] + 1) - square(acc["run"])).otherwise(1.0)).alias("sum"),
         ),
         lambda acc: acc["sum"],
     )
-    return F.struct(known.alias("known"), others.alias("others"), F.size(found).alias("n"))
+    return F.struct(known.alias("known"), others.alias("others"))
 
 
-def _best(stats: Column, idf: dict[str, float], unseen: float, unit: dict[str, dict[str, float]]) -> Column:
+def _best(stats: Column, idf: dict[str, float], unseen: float, unit: list[dict[str, float]]) -> Column:
     """struct(score, licence) of the best template for the stats of some terms."""
-    names = sorted(unit)
-    scale = F.lit([idf[t] for t in VOCABULARY])
-    table = F.array(*[F.lit([unit[k].get(t, 0.0) * idf[t] for t in VOCABULARY]) for k in names])
+    order = sorted(range(len(TEMPLATES)), key=lambda i: (TEMPLATES[i][0], i))
+    scale = _constant([idf[t] for t in VOCABULARY], "double")
+    table = F.array(*[_constant([unit[i].get(t, 0.0) * idf[t] for t in VOCABULARY], "double") for i in order])
     zero, known = F.lit(0.0), stats["known"]
     square = F.aggregate(known, zero, lambda a, e: a + F.pow(e["tf"] * F.element_at(scale, e["at"]), F.lit(2.0)))
     length = F.sqrt(square + stats["others"] * (unseen * unseen))
     scores = F.transform(
         table,
         lambda row, i: F.struct(
-            (F.aggregate(known, zero, lambda a, e: a + e["tf"] * F.element_at(row, e["at"])) / length).alias("score"), (-i).alias("order")
+            F.round(F.aggregate(known, zero, lambda a, e: a + e["tf"] * F.element_at(row, e["at"])) / length, 9).alias("score"), (-i).alias("order")
         ),
     )
-    top = F.transform(F.array(F.array_max(scores)), lambda m: F.struct(m["score"].alias("score"), F.element_at(F.lit(names), 1 - m["order"]).alias("licence")))
-    return F.when(stats["n"] > 0, top[0])
+    names = _constant([TEMPLATES[i][0] for i in order], "string")
+    top = F.transform(F.array(F.array_max(scores)), lambda m: F.struct(m["score"].alias("score"), F.element_at(names, 1 - m["order"]).alias("licence")))
+    return F.when(F.size(known) > 0, top[0])
 
 
 def scan(files: DataFrame, ids: list[str], line_score: float = LINE_SCORE, file_score: float = FILE_SCORE) -> DataFrame:
@@ -133,37 +131,51 @@ def scan(files: DataFrame, ids: list[str], line_score: float = LINE_SCORE, file_
     `files` has the columns `ids`, path and text.
     """
     idf, unseen, unit = weights(*frequencies(files))
-    lines = F.filter(F.split(text_of(), "\n"), lambda x: F.lower(x).rlike("|".join(KEYS)))
-    rows = files.select(*ids, "path", lines.alias("_lines"), F.when(F.size(lines) > 0, text_of()).alias("_t"))
+    most = {t: max(u.get(t, 0.0) ** 2 for u in unit) for t in VOCABULARY}
+    places, greatest = _constant(VOCABULARY, "string"), _constant([most[t] for t in VOCABULARY], "double")
+
+    def can_score(text: Column) -> Column:
+        """Whether the squared weights of a text's terms add up to the least score: if not, no template is within reach."""
+        shared = F.array_distinct(F.filter(terms_of(text), lambda t: t.isin(VOCABULARY)))
+        reach = F.aggregate(shared, F.lit(0.0), lambda a, t: a + F.element_at(greatest, F.array_position(places, t).cast("int")))
+        return reach >= line_score * line_score - 1e-9
+
+    rows = files.select(*ids, "path", F.when(can_score(text_of()), text_of()).alias("_t"))
+    rows = computed_once(rows)
+    parts = F.concat(F.split("_t", "\n"), F.filter(F.split("_t", _GAP), lambda p: p.contains("\n")))
+    said = F.when(F.col("_t").isNotNull(), F.filter(parts, can_score))
+    head = F.regexp_extract("_t", COMMENT, 0)
+    measure = lambda text: _stats(terms_of(text), places)
+    rows = rows.withColumns({
+        "_said": F.transform(said, measure), "_all": F.when(F.col("_t").isNotNull(), measure(F.col("_t"))),
+        "_lead": F.when(F.length(head) > 0, measure(head)),
+    })
     best = lambda stats: _best(stats, idf, unseen, unit)
-    rows = rows.withColumns({"_said": F.transform("_lines", terms_of), "_all": F.when(F.col("_t").isNotNull(), terms_of(F.col("_t")))})
-    rows = rows.withColumns({"_said": F.transform("_said", _stats), "_all": F.when(F.col("_all").isNotNull(), _stats(F.col("_all")))})
     rows = rows.withColumn("_said", F.transform("_said", best))
     granted = F.filter("_said", lambda b: (b["score"] >= line_score) & (b["licence"] != RESERVED))
-    head = F.coalesce(F.array_max(granted), F.array_max("_said"))
-    rows = rows.select(*ids, "path", head.alias("_head"), F.when(F.col("_all").isNotNull(), best(F.col("_all"))).alias("_whole"))
-    rows = computed_once(rows)
+    line = F.coalesce(F.array_max(granted), F.array_max("_said"))
+    scored = lambda c: F.when(F.col(c).isNotNull(), best(F.col(c)))
+    rows = computed_once(rows.select(*ids, "path", line.alias("_line"), scored("_all").alias("_whole"), scored("_lead").alias("_lead")))
     name = F.lower(F.regexp_extract(F.coalesce("path", F.lit("")), r"([^/]*)$", 1))
-    named = F.regexp_replace(name, r"[.].*$", "").isin(FILE_NAMES)
-    says, whole = F.col("_head.score") >= line_score, F.col("_whole.score") >= file_score
-    is_file = F.coalesce(whole | (named & (says | (F.col("_whole.score") >= line_score))), F.lit(False))
-    own = F.when(whole, F.col("_whole")).when(says, F.col("_head")).when(is_file, F.col("_whole"))
+    named = F.regexp_replace(name, r"[.-].*$", "").isin(FILE_NAMES)
+    reaches = lambda c, s: F.coalesce(F.col(f"{c}.score") >= s, F.lit(False))
+    whole, lead, says = reaches("_whole", file_score), reaches("_lead", file_score), reaches("_line", line_score)
+    is_file = whole | (named & (lead | says | reaches("_whole", line_score)))
+    own = F.when(whole, F.col("_whole")).when(lead, F.col("_lead")).when(says, F.col("_line")).when(is_file, F.col("_whole"))
     folder = F.when(F.col("path").contains("/"), F.regexp_replace("path", r"/[^/]*$", "")).when(F.col("path").isNotNull(), F.lit(""))
-    rows = rows.select(*ids, "path", own.alias("_own"), is_file.alias("_is_file"), folder.alias("_dir")).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = cut(rows.select(*ids, "path", own.alias("_own"), is_file.alias("_is_file"), folder.alias("_dir"), F.monotonically_increasing_id().alias("_n")))
     held = rows.where(F.col("_is_file") & F.col("_dir").isNotNull()).groupBy(F.col("_dir").alias("_up")).agg(
-        F.max_by("_own", F.struct(F.col("_own.score"), F.array(*[-F.coalesce(F.array_position(F.lit(sorted(TEMPLATES)), F.col("_own.licence")), F.lit(0))]))).alias("_given")
+        F.max_by("_own", F.struct(F.col("_own.score"), -F.array_position(F.lit(NAMES), F.col("_own.licence")))).alias("_given")
     )
-    parts = F.split("_dir", "/")
-    above = F.transform(F.sequence(F.lit(0), F.size(parts)), lambda k: F.struct(k.alias("depth"), F.array_join(F.slice(parts, F.lit(1), k), "/").alias("up")))
-    dirs = rows.where("_dir is not null").select("_dir").distinct().select("_dir", F.inline(F.array_distinct(above)))
+    steps = F.split("_dir", "/")
+    above = F.transform(F.sequence(F.lit(0), F.size(steps)), lambda k: F.struct(k.alias("depth"), F.array_join(F.slice(steps, F.lit(1), k), "/").alias("up")))
+    counts = rows.where("_dir is not null").groupBy("_dir").agg(F.count("*").alias("m"))
+    dirs = counts.select("_dir", F.inline(F.array_distinct(above)))
     near = dirs.join(held, dirs["up"] == held["_up"]).groupBy("_dir").agg(F.max_by(F.struct("_given", "up"), "depth").alias("_near"))
-    # A directory's rows are dealt to SALTS tasks; what they look up, a row a directory, goes to each of them.
-    near = near.select("*", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"))
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*ids, "path", "_own"), F.lit(SALTS)).cast("int"))
-    joined = salted.join(near, ["_dir", "_salt"], "left")
+    placed = rows.where("_dir is not null")
+    found = joined(placed, near, ["_dir"], F.col("_n"), hot_keys(counts, ["_dir"], rows.count()), "left").drop("_n")
+    lost = rows.where("_dir is null").drop("_n").withColumn("_near", F.lit(None).cast(found.schema["_near"].dataType))
+    found = found.unionByName(lost)
     via = F.when(F.col("_own").isNotNull() & F.col("_is_file"), "file").when(F.col("_own").isNotNull(), "header").when(F.col("_near").isNotNull(), "inherited").otherwise("none")
     taken = F.coalesce(F.col("_own"), F.col("_near._given"))
-    return joined.select(
-        *ids, "path", taken["licence"].alias("licence"), F.round(taken["score"], 9).alias("score"), via.alias("via"),
-        F.when(via == "inherited", F.col("_near.up")).alias("inherited_from"),
-    )
+    return found.select(*ids, "path", taken["licence"].alias("licence"), taken["score"].alias("score"), via.alias("via"), F.when(via == "inherited", F.col("_near.up")).alias("inherited_from"))

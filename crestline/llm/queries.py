@@ -25,9 +25,9 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The documents as files: source/lang/doc_id."""
+    """The documents as files: source/lang/doc_id, "_" for what is null."""
     docs = read(spark, sf_dir, "documents")
-    path = F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string"))
+    path = F.concat_ws("/", *[F.coalesce(F.col(c).cast("string"), F.lit("_")) for c in ("source", "lang", "doc_id")])
     return licenses.scan(docs.select("doc_id", path.alias("path"), "text"), ["doc_id"])
 
 

@@ -58,6 +58,9 @@ def test_odd_and_empty_tables(spark, odd, empty, labels):
         "mixing": lambda d: mixing.digest(d),
         "mix": lambda d: mixing.mix(d),
         "sharding": lambda d: sharding.shard(d),
+        "bpe encoded": lambda d: bpe.encoded(d, queries.tokenizer_path()),
+        "bpe decoded": lambda d: bpe.decoded(bpe.encoded(d, queries.tokenizer_path()), queries.tokenizer_path()),
+        "pages": lambda d: langid.scan(langid.from_pages(d.selectExpr("doc_id", "source as url", "text as html"), ["doc_id"])),
     }
     for name, run in runs.items():
         n = run(odd).count()
@@ -65,70 +68,6 @@ def test_odd_and_empty_tables(spark, odd, empty, labels):
         assert run(empty).count() == 0, name
 
 
-def test_fingerprints_by_hand(spark):
-    docs = read(spark, SMALL, "documents")
-    got = {r["doc_id"]: r for r in fingerprints.scan(docs).collect()}
-    texts = sorted((r["doc_id"], r["text"]) for r in docs.collect())
-    for i, (k, t) in enumerate(texts):
-        after = texts[(i + 1) % len(texts)][1]
-        half = len(t) // 2
-        edited = t[: len(t) - half] + after[:half]
-        assert got[k]["n_chars"] == len(t) and got[k]["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest()
-    same = {}
-    for k, t in texts:
-        assert same.setdefault(t, got[k]["fingerprint"]) == got[k]["fingerprint"]
-
-    def shingles(t):
-        w = t.split()
-        return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))}
-
-    off = []
-    for i, (k, t) in enumerate(texts):
-        half = len(t) // 2
-        a, b = shingles(t), shingles(t[: len(t) - half] + texts[(i + 1) % len(texts)][1][:half])
-        off.append(got[k]["near_edited"] - len(a & b) / len(a | b))
-    assert abs(np.mean(off)) < 0.03 and np.std(off) < 0.15
-
-
-def test_bpe_against_the_library(spark):
-    from tokenizers import Tokenizer
-
-    tool = Tokenizer.from_file(queries.tokenizer_path())
-    docs = {r["doc_id"]: r["text"] for r in read(spark, SMALL, "documents").collect()}
-    for r in queries.op5_bpe(spark, SMALL).collect():
-        ids = tool.encode(docs[r["doc_id"]], add_special_tokens=False).ids
-        assert r["n_tokens"] == len(ids) and r["ids_sha256"] == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
-        assert r["decoded_sha256"] == hashlib.sha256(tool.decode(ids, skip_special_tokens=False).encode()).hexdigest()
-
-
-def test_bpe_streams_long_runs():
-    from tokenizers import Tokenizer
-
-    tool = Tokenizer.from_file(queries.tokenizer_path())
-    encoder = bpe.Encoder(bpe.Vocabulary(queries.tokenizer_path()))
-    rng = np.random.default_rng(1)
-    for n in (129, 500, 3000):
-        text = "".join(rng.choice(list("abcdeinrsth"), n))
-        assert np.frombuffer(encoder(text), "<u4").tolist() == tool.encode(text, add_special_tokens=False).ids
-        pieces = [text.encode()[i : i + 17] for i in range(0, n, 17)]
-        assert list(encoder.transducer.stream(iter(pieces))) == tool.encode(text, add_special_tokens=False).ids
-
-
-def test_sharding_law(spark):
-    docs = {r["doc_id"]: r for r in read(spark, SF, "documents").collect()}
-    out = queries.op9_sharding(spark, SF).collect()
-    assert len(out) == len(docs)
-    per = Counter(r["shard"] for r in out)
-    assert set(per) == set(range(8)) and max(per.values()) - min(per.values()) <= 1
-    for k in per:
-        assert sorted(r["slot"] for r in out if r["shard"] == k) == list(range(per[k]))
-    mixture = Counter((r["shard"], docs[r["doc_id"]]["source"]) for r in out)
-    assert max(mixture.values()) <= 8 and min(mixture.values()) >= 5  # 50 rows a source over 8 shards
-    for r in out:
-        t = docs[r["doc_id"]]["text"].encode()
-        assert r["size"] == len(t) + 1 and r["text_crc32"] == zlib.crc32(t)
-
-
 def test_mixing_meets_targets(spark):
     docs = {r["doc_id"]: r for r in read(spark, SF, "documents").collect()}
     out = queries.op8_mixing(spark, SF).collect()
@@ -186,13 +125,6 @@ def test_near_estimate_and_prefix_join(spark):
     assert want and want <= got
 
 
-def test_quality_on_held_out_labels(spark):
-    out = {r["doc_id"]: r for r in queries.op4_quality_classifier(spark, SF).collect()}
-    held = [(r["quality"], out[r["doc_id"]]) for r in read(spark, SF, "labels").collect() if out[r["doc_id"]]["held_out"]]
-    assert all(r["held_out"] == (zlib.crc32(str(k).encode()) % 4 == 2) and 0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.7) for k, r in out.items())
-    assert np.mean([q == r["predicted"] for q, r in held]) > 0.9
-
-
 def test_rules_certify_with_many_labels(spark):
     docs = [(i, ("good plain words here and there " * 2) if i % 2 else ("bad### word$$$ " * 5 + " ".join(f"z{i}k{j}" for j in range(60))), "en", "s", 0, 0, "", "") for i in range(6000)]
     table = quality_rules.scan(spark.createDataFrame([(a, t + " ".join(f"q{a}n{j}" for j in range(60)), *r) for a, t, *r in docs], SCHEMA), spark.createDataFrame([(i, i % 2) for i in range(6000)], "doc_id long, quality long"))
@@ -243,23 +175,6 @@ def test_reserved_rights_block_inheritance(spark):
     assert out["b/z.py"] == ("Apache-2.0", "header") and out["b/v.py"][1] == "none"
 
 
-def test_language(spark):
-    out = queries.op3_language_id(spark, SF).collect()
-    lang = {r["doc_id"]: r["lang"] for r in read(spark, SF, "documents").collect()}
-    assert np.mean([r["language"] == lang[r["doc_id"]] for r in out]) > 0.98 and np.mean([r["kept"] for r in out]) > 0.98
-    pages = queries.page_language_id(spark, SMALL).collect()
-    assert all(r["kept"] for r in pages)
-
-
-def test_chat_masks(spark):
-    talk = [(1, 0, "system", "s"), (1, 1, "ann", "hi"), (1, 2, "bob", None), (1, 3, None, "x"), (2, 0, "system", "only")]
-    out = chat.rotate(spark.createDataFrame(talk, "conv_id long, turn long, role string, text string")).collect()
-    assert len(out) == 3 * 4 and {r["speaker"] for r in out} == {"ann", "bob", "unknown"}
-    for r in out:
-        span = r["segment"][r["span_start"] : r["span_end"]]
-        assert span == ("" if not r["learned"] else {"ann": "hi", "bob": "", "unknown": "x"}[r["speaker"]] + "<|im_end|>")
-
-
 def test_pipeline(spark):
     import corpus_pipeline
 
