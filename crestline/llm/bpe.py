@@ -131,17 +131,53 @@ class Transducer:
         self.fits: dict[int, bool] = {}
         #: Tokens that the merges can make.
         self.real = {b: i for b, i in vocabulary.id_of.items() if self.merged(b) == [i]}
-        self.length = {i: len(b) for b, i in self.real.items()}
         self.longest = max(map(len, self.real), default=1)
-        #: Lengths of tokens of three bytes and more by their last three bytes, the longest first.
-        ends: dict[bytes, set[int]] = {}
-        for b in self.real:
-            if len(b) > 2:
-                ends.setdefault(b[-3:], set()).add(len(b))
-        self.ends = {k: (*sorted(v, reverse=True), 2, 1) for k, v in ends.items()}
+        self._automaton()
         #: The most prefixes that were held at once.
         self.held_most = 0
 
+    def _automaton(self) -> None:
+        """The suffix automaton of the tokens: from the bytes so far to the longest token that ends here, and on to shorter ones."""
+        child: dict[int, int] = {}
+        token, depth_first = [-1], [0]
+        for text, i in self.real.items():
+            node = 0
+            for c in text:
+                node = child.setdefault(node << 8 | c, len(token))
+                if node == len(token):
+                    token.append(-1)
+            token[node] = i
+        children: list[list[tuple[int, int]]] = [[] for _ in token]
+        for key, node in child.items():
+            children[key >> 8].append((key & 255, node))
+        fail, out, link = [0] * len(token), token[:], [-1] * (1 + max(self.v.bytes_of))
+        for node in depth_first:  # grows while it is read: nearest nodes first
+            for c, down in children[node]:
+                at = fail[node]
+                while at and (at << 8 | c) not in child:
+                    at = fail[at]
+                fail[down] = child.get(at << 8 | c, 0) if node else 0
+                if token[down] >= 0:
+                    link[token[down]] = out[fail[down]]
+                else:
+                    out[down] = out[fail[down]]
+                depth_first.append(down)
+        self.child, self.fail, self.out, self.link = child, fail, out, link
+        self.go: dict[int, int] = {}
+        self.length = [0] * len(link)
+        for text, i in self.real.items():
+            self.length[i] = len(text)
+
+    def step(self, state: int, byte: int) -> int:
+        """The automaton's state after a byte."""
+        if len(self.go) > _FITS_KEPT:
+            self.go.clear()
+        at = state
+        while at and (at << 8 | byte) not in self.child:
+            at = self.fail[at]
+        self.go[state << 8 | byte] = found = self.child.get(at << 8 | byte, 0)
+        return found
+
     def merged(self, piece: bytes) -> list[int]:
         """The encoding of the bytes of one or two tokens by the merge list itself: the best-ranked, leftmost pair first."""
         rank_of, made = self.v.rank_of, self.v.made
@@ -167,34 +203,44 @@ class Transducer:
             found = self.fits[key] = self.merged(self.v.bytes_of[a] + self.v.bytes_of[b]) == [a, b]
         return found
 
+    def _read(self, chunk: bytes, last: list[int], before: int, state: int) -> int:
+        """Appends the last token of the encoding up to each byte of a chunk to `last`; `before` is the token before last[1:]. Returns the new state."""
+        go, out, link, length, fits = self.go, self.out, self.link, self.length, self.fits
+        n = len(last) - 1
+        for byte in chunk:
+            found = go.get(state << 8 | byte)
+            state = self.step(state, byte) if found is None else found
+            n += 1
+            token = out[state]
+            while True:
+                at = n - length[token]
+                if at >= 0:
+                    left = last[at] if at else before
+                    if left < 0:
+                        break
+                    fit = fits.get(left << 20 | token)
+                    if fit or fit is None and self.compatible(left, token):
+                        break
+                token = link[token]
+            last.append(token)
+        return state
+
     def stream(self, chunks: Iterable[bytes]) -> Iterator[int]:
         """Token ids of one pre-token that comes in chunks of bytes, each id as soon as a chunk makes it stable."""
-        real, length, ends, compatible = self.real, self.length, self.ends, self.compatible
         # last[i]: the last token of the encoding up to the i-th byte after the stable point.
-        held, last, before = b"", [-1], -1
+        last, before, state = [-1], -1, 0
         for chunk in chunks:
-            at = len(held)
-            held += chunk
-            for n in range(at + 1, len(held) + 1):
-                for size in ends.get(held[n - 3 : n], (2, 1)) if n > 2 else (2, 1):
-                    if size <= n:
-                        token = real.get(held[n - size : n])
-                        if token is not None:
-                            left = last[n - size] if n > size else before
-                            if left < 0 or compatible(left, token):
-                                last.append(token)
-                                break
-            n = len(held)
+            state = self._read(chunk, last, before, state)
+            n = len(last) - 1
             self.held_most = max(self.held_most, n)
             # Boundaries of this prefix's encoding that are `lookahead` bytes old stay, whatever comes.
             stable = n
             while stable > max(0, n - self.v.lookahead):
-                stable -= length[last[stable]]
+                stable -= self.length[last[stable]]
             if stable > 0:
                 yield from self._chain(last, stable)
-                before = last[stable]
-                held, last = held[stable:], last[stable:]
-        yield from self._chain(last, len(held))
+                before, last = last[stable], last[stable:]
+        yield from self._chain(last, len(last) - 1)
 
     def _chain(self, last: list[int], at: int) -> list[int]:
         out = []
@@ -204,8 +250,12 @@ class Transducer:
         return out[::-1]
 
     def encode(self, piece: bytes) -> list[int]:
-        """Token ids of a whole pre-token."""
-        return list(self.stream((piece,) if len(piece) <= CHUNK else (piece[i : i + CHUNK] for i in range(0, len(piece), CHUNK))))
+        """Token ids of a whole pre-token: of one chunk, with nothing to emit before its end, or of several."""
+        if len(piece) > CHUNK:
+            return list(self.stream(piece[i : i + CHUNK] for i in range(0, len(piece), CHUNK)))
+        last = [-1]
+        self._read(piece, last, -1, 0)
+        return self._chain(last, len(piece))
 
 
 class Encoder:
@@ -221,16 +271,19 @@ class Encoder:
 
     def unit(self, text: str) -> bytes:
         """Ids of a text that starts and ends where pre-tokens do."""
-        out = []
+        out, tokens, encode = [], self.tokens, self.transducer.encode
         for m in self.pattern.finditer(text):
             piece = m[0]
-            found = self.tokens.get(piece)
+            if len(piece) == len(text):
+                # The one piece of a unit is remembered as that.
+                return _packed("I", encode(piece.encode("utf-8", "surrogatepass"))).tobytes()
+            found = tokens.get(piece)
             if found is None:
-                found = _packed("I", self.transducer.encode(piece.encode("utf-8", "surrogatepass"))).tobytes()
+                found = _packed("I", encode(piece.encode("utf-8", "surrogatepass"))).tobytes()
                 if len(piece) <= 64:
-                    if len(self.tokens) > _UNITS_KEPT:
-                        self.tokens.clear()
-                    self.tokens[piece] = found
+                    if len(tokens) > _UNITS_KEPT:
+                        tokens.clear()
+                    tokens[piece] = found
             out.append(found)
         return b"".join(out)
 
@@ -298,11 +351,22 @@ class Decoder:
         yield machine.decode(b"", final=True)
 
 
+#: The encoder and decoder of a worker process by file, so that what they remember serves its next tasks.
+_KEPT: dict[str, tuple[Encoder, Decoder]] = {}
+
+
+def _tools(path: str, vocabulary: Vocabulary) -> tuple[Encoder, Decoder]:
+    if path not in _KEPT:
+        _KEPT.clear()
+        _KEPT[path] = Encoder(vocabulary), Decoder(vocabulary)
+    return _KEPT[path]
+
+
 def _mapped(docs: DataFrame, path: str, columns: list[str], schema: str, make) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(Vocabulary(path))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder, decoder = Encoder(shared.value), Decoder(shared.value)
+        encoder, decoder = _tools(path, shared.value)
         for batch in batches:
             yield make(batch, encoder, decoder)
 
@@ -362,7 +426,7 @@ def decoded(rows: DataFrame, path: str) -> DataFrame:
     shared = rows.sparkSession.sparkContext.broadcast(Vocabulary(path))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        decoder = Decoder(shared.value)
+        decoder = _tools(path, shared.value)[1]
         for batch in batches:
             yield pd.DataFrame({"doc_id": batch["doc_id"], "text": ["".join(decoder.pieces((x or b"",))) for x in batch["ids"]]})
 

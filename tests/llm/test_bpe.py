@@ -58,8 +58,8 @@ def test_a_huge_pre_token_takes_constant_state(tool):
 def test_every_pre_token_goes_through_the_transducer(encoder, monkeypatch):
     seen = []
     fresh = bpe.Encoder(encoder.transducer.v)
-    whole = fresh.transducer.stream
-    monkeypatch.setattr(fresh.transducer, "stream", lambda chunks: seen.append(1) or whole(chunks))
+    whole = fresh.transducer._read
+    monkeypatch.setattr(fresh.transducer, "_read", lambda *a: seen.append(1) or whole(*a))
     fresh("some words, and 12 more")
     assert len(seen) == 6
 
