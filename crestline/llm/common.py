@@ -8,8 +8,8 @@ import tempfile
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Fixed value: the separators between words, as a Java regular expression.
-SPACES = r"[\x20\x09-\x0D]+"
+#: Fixed value: a word, as a Java regular expression. (To extract words is several times faster than to split at what is between them.)
+WORD = r"[^\x20\x09-\x0D]+"
 #: A key is hot if it holds more than a HOT_KEYS-th of all rows (so there are fewer such keys), and more than LEAST_HOT rows.
 HOT_KEYS, LEAST_HOT = 100_000, 1000
 
@@ -20,8 +20,8 @@ def text_of(col: str = "text") -> Column:
 
 
 def words_of(text: Column) -> Column:
-    """The words of a text: maximal runs of characters other than SPACES."""
-    return F.array_remove(F.split(text, SPACES), "")
+    """The words of a text: maximal runs of characters other than the six separators."""
+    return F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
 
 
 def key_of(col: str) -> Column:

@@ -2,17 +2,19 @@
 
 A text's statements are its lines, its paragraphs, its leading comment block, and the whole of it. Each gets the cosine
 between its TF-IDF vector (1 + ln count, times the inverse document frequency) and those of the templates; document
-frequencies of the templates' terms are counted over all documents, and a term no template has weighs as one seen nowhere.
+frequencies of the templates' terms are counted over all documents, and each different term no template has weighs as one
+seen nowhere that stands once.
 The whole text decides if it reaches `file_score`, then the leading comments if they do, then the best line or
 paragraph if it reaches `line_score`. A row is a licence file if its file name is one of FILE_NAMES and its text says a
 licence, or if its whole text is one, and speaks for its directory. Rows without a licence of their own take
 that of the nearest directory above them that has one, by joins on paths. A notice of reserved rights
 (RESERVED) is a licence of its own, so its row inherits nothing; it yields to any grant the text states.
 
-Most lines need no cosine. By the Cauchy-Schwarz inequality a statement's cosine to a template is at most the length of the
-template's unit vector over the terms they share; so what has terms whose squared weights, each the greatest of any
-template, add up to less than `line_score` squared can reach no template. That is asked of a document first, then
-of its lines. The bound leaves out nothing that could score.
+Most statements need no cosine. By the Cauchy-Schwarz inequality a statement's cosine to a template is at most the length of
+the template's unit vector over the terms they share, times the share of the statement's own length that lies in
+terms of templates. So where the squared weights of its terms, each the greatest of any template, add up to less than
+`line_score` squared, no template is within reach: that is asked of a document first. Of its statements it is asked
+with the second factor as well. The bounds leave out nothing that could score.
 
 Everything is built from DataFrame functions; vectors are sparse and local to a row, so no text
 is shuffled. The templates are a fixed list, so what each row is held against is bounded. Directories with many rows are
@@ -40,19 +42,18 @@ from crestline.llm.licence_texts import RESERVED, templates
 FILE_NAMES = ["license", "licence", "copying", "notice", "copyright", "unlicense"]
 COMMENT = r"\A(?:[ \t]*(?:#|//|/?\*|--|;|%)[^\n]*(?:\n|\z)|[ \t]*\n)+"
 LINE_SCORE, FILE_SCORE = 0.6, 0.9
-TERM = r"[^a-z0-9+.-]+"
+TERM = r"[a-z0-9+]+(?:[.-]+[a-z0-9+]+)*"
 #: What stands between paragraphs: a line without letters or digits.
 _GAP = r"\n[^a-zA-Z0-9\n]*\n"
 
 
 def terms(text: str) -> list[str]:
-    return [t for t in (x.strip(".-") for x in re.split(TERM, text.lower())) if t]
+    return re.findall(TERM, text.lower())
 
 
 def terms_of(text: Column) -> Column:
     """The terms of a text, as `terms` has them."""
-    parts = F.transform(F.split(F.lower(text), TERM), lambda x: F.when(x.rlike(r"^[.-]|[.-]$"), F.regexp_replace(x, r"^[.-]+|[.-]+$", "")).otherwise(x))
-    return F.array_remove(parts, "")
+    return F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0))
 
 
 TEMPLATES = [(k, terms(t)) for k, t in templates()]
@@ -86,24 +87,14 @@ def _constant(values: list, kind: str) -> Column:
 
 
 def _stats(found: Column, places: Column) -> Column:
-    """Of an array of terms: (place, weight of the count) of those in VOCABULARY, and the sum of squared weights of the others."""
-    known = F.transform(
-        F.array_distinct(F.filter(found, lambda t: t.isin(VOCABULARY))),
-        lambda t: F.struct(F.array_position(places, t).cast("int").alias("at"), (1 + F.log(F.size(F.filter(found, lambda u: u == t)))).alias("tf")),
+    """Of an array of terms: (place, weight of the count) of those in VOCABULARY, and the number of different others."""
+    known = F.filter(found, lambda t: t.isin(VOCABULARY))
+    weighed = lambda ts: F.transform(
+        F.array_distinct(ts),
+        lambda t: F.struct(F.array_position(places, t).cast("int").alias("at"), (1 + F.log(F.size(F.filter(ts, lambda u: u == t)))).alias("tf")),
     )
-    start = F.struct(F.lit("").alias("term"), F.lit(0.0).alias("run"), F.lit(0.0).alias("sum"))
-    square = lambda run: F.pow(1 + F.log(run), F.lit(2.0))
-    others = F.aggregate(
-        F.array_sort(F.filter(found, lambda t: ~t.isin(VOCABULARY))),
-        start,
-        lambda acc, t: F.struct(
-            t.alias("term"),
-            F.when(t == acc["term"], acc["run"] + 1).otherwise(1.0).alias("run"),
-            (acc["sum"] + F.when(t == acc["term"], square(acc["run"] + 1) - square(acc["run"])).otherwise(1.0)).alias("sum"),
-        ),
-        lambda acc: acc["sum"],
-    )
-    return F.struct(known.alias("known"), others.alias("others"))
+    others = F.size(F.array_distinct(F.filter(found, lambda t: ~t.isin(VOCABULARY))))
+    return F.struct(F.transform(F.array(known), weighed)[0].alias("known"), others.alias("others"))
 
 
 def _best(stats: Column, idf: dict[str, float], unseen: float, unit: list[dict[str, float]]) -> Column:
@@ -134,21 +125,35 @@ def scan(files: DataFrame, ids: list[str], line_score: float = LINE_SCORE, file_
     most = {t: max(u.get(t, 0.0) ** 2 for u in unit) for t in VOCABULARY}
     places, greatest = _constant(VOCABULARY, "string"), _constant([most[t] for t in VOCABULARY], "double")
 
+    def reach(shared: Column, table: Column) -> Column:
+        return F.aggregate(shared, F.lit(0.0), lambda a, t: a + F.element_at(table, F.array_position(places, t).cast("int")))
+
     def can_score(text: Column) -> Column:
         """Whether the squared weights of a text's terms add up to the least score: if not, no template is within reach."""
         shared = F.array_distinct(F.filter(terms_of(text), lambda t: t.isin(VOCABULARY)))
-        reach = F.aggregate(shared, F.lit(0.0), lambda a, t: a + F.element_at(greatest, F.array_position(places, t).cast("int")))
-        return reach >= line_score * line_score - 1e-9
+        return reach(shared, greatest) >= line_score * line_score - 1e-9
+
+    def may_score(text: Column) -> Column:
+        """Whether a statement can reach the least score, given the different terms it has that no template has."""
+        squares = _constant([idf[t] ** 2 for t in VOCABULARY], "double")
+
+        def judge(found: Column) -> Column:
+            shared = F.array_distinct(F.filter(found, lambda t: t.isin(VOCABULARY)))
+            own = F.pow(1 + F.log(F.greatest(F.size(found), F.lit(1))), F.lit(2.0)) * reach(shared, squares)
+            others = F.size(F.array_distinct(found)) - F.size(shared)
+            return reach(shared, greatest) * own >= (line_score * line_score - 1e-9) * (own + others * (unseen * unseen))
+
+        return F.transform(F.array(terms_of(text)), judge)[0]
 
     rows = files.select(*ids, "path", F.when(can_score(text_of()), text_of()).alias("_t"))
     rows = computed_once(rows)
     parts = F.concat(F.split("_t", "\n"), F.filter(F.split("_t", _GAP), lambda p: p.contains("\n")))
-    said = F.when(F.col("_t").isNotNull(), F.filter(parts, can_score))
+    said = F.when(F.col("_t").isNotNull(), F.filter(parts, may_score))
     head = F.regexp_extract("_t", COMMENT, 0)
     measure = lambda text: _stats(terms_of(text), places)
     rows = rows.withColumns({
-        "_said": F.transform(said, measure), "_all": F.when(F.col("_t").isNotNull(), measure(F.col("_t"))),
-        "_lead": F.when(F.length(head) > 0, measure(head)),
+        "_said": F.transform(said, measure), "_all": F.when(may_score(F.col("_t")), measure(F.col("_t"))),
+        "_lead": F.when((F.length(head) > 0) & may_score(head), measure(head)),
     })
     best = lambda stats: _best(stats, idf, unseen, unit)
     rows = rows.withColumn("_said", F.transform("_said", best))

@@ -21,7 +21,7 @@ def brute(files):
     idf, unseen, unit = licenses.weights(len(files), df)
 
     def best(text):
-        v = {t: (1 + math.log(c)) * idf.get(t, unseen) for t, c in Counter(licenses.terms(text)).items()}
+        v = {t: (1 + math.log(c)) * idf[t] if t in vocabulary else unseen for t, c in Counter(licenses.terms(text)).items()}
         length = math.sqrt(sum(x * x for x in v.values()))
         if not vocabulary & set(v):
             return None
