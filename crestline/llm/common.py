@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import tempfile
 
@@ -57,26 +58,28 @@ def computed_once(df: DataFrame) -> DataFrame:
     return df.select(F.inline(F.array(F.struct(*df.columns))))
 
 
-def salts(df: DataFrame) -> int:
-    """Into how many parts the rows of one key are dealt: a few for each shuffle partition."""
-    return 4 * max(16, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-
-
 def hot_keys(counts: DataFrame, keys: list[str], total: int) -> DataFrame | None:
-    """The keys that hold more than a HOT_KEYS-th of `total` rows by `counts` (keys and m), so HOT_KEYS of them at most; None if there are none."""
-    found = counts.where(F.col("m") > max(total // HOT_KEYS, LEAST_HOT)).select(*keys)
+    """The keys that hold more than a HOT_KEYS-th of `total` rows by `counts` (keys and m), so HOT_KEYS of them at most, and into
+    how many parts (_parts) the rows of each are dealt, so that a part holds no more than that; None if there are none."""
+    if total <= LEAST_HOT:
+        return None
+    most = max(total // HOT_KEYS, LEAST_HOT)
+    found = counts.where(F.col("m") > most).select(*keys, F.ceil(F.col("m") / most).cast("int").alias("_parts"))
     rows = found.collect()
     return counts.sparkSession.createDataFrame(rows, found.schema) if rows else None
 
 
 def joined(rows: DataFrame, table: DataFrame, keys: list[str], spread: Column, hot: DataFrame | None, how: str = "inner") -> DataFrame:
-    """The join of `rows` with `table` (few rows a key) by `keys`, which aren't null; rows of the `hot` keys are dealt to many tasks by `spread`."""
+    """The join of `rows` with `table` (few rows a key) by `keys`, which aren't null; rows of the `hot` keys are dealt to their parts by `spread`.
+
+    The table's row of a hot key is copied for each part: all copies together are no more than HOT_KEYS and the hot keys.
+    """
     if hot is None:
         return rows.join(table, keys, how)
-    mark, n = F.broadcast(hot.withColumn("_hot", F.lit(True))), salts(rows)
-    dealt = rows.join(mark, keys, "left").withColumn("_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(spread), F.lit(n)).cast("int")).otherwise(0)).drop("_hot")
-    every = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(n - 1))).otherwise(F.array(F.lit(0)))
-    copied = table.join(mark, keys, "left").withColumn("_salt", F.explode(every)).drop("_hot")
+    parts = F.broadcast(hot)
+    dealt = rows.join(parts, keys, "left").withColumn("_salt", F.coalesce(F.pmod(F.xxhash64(spread), F.col("_parts")).cast("int"), F.lit(0))).drop("_parts")
+    every = F.sequence(F.lit(0), F.coalesce(F.col("_parts"), F.lit(1)) - 1)
+    copied = table.join(parts, keys, "left").withColumn("_salt", F.explode(every)).drop("_parts")
     return dealt.join(copied, [*keys, "_salt"], how).drop("_salt")
 
 
@@ -91,6 +94,15 @@ def row_hash(df: DataFrame) -> Column:
     return F.xxhash64(*[x for f in df.schema.fields for x in (plain(f), F.col(f"`{f.name}`").isNull())])
 
 
+def give_back() -> None:
+    """Returns a Python worker's freed memory to the system, so that a worker that waits for its next task is small."""
+    gc.collect()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not every C library has it
+        pass
+
+
 def fresh(columns: list[str], name: str) -> str:
     """A column name like `name` that clashes with none of `columns`."""
     taken = {c.lower() for c in columns}

@@ -11,8 +11,8 @@ Copies with equal sets are folded first: each different set is a node of its own
 have. Within a band, each set is held against one member only, the
 one that meets most others in all bands (a star), never against all others;
 members of bands that still hold several components after that are joined by the rarest shingles of
-their sets, which finds every pair that can be similar and few others; components meet there, so members
-of one component never meet each other again. A pair passes a
+their sets, which finds every pair that can be similar and few others; members of one component are no pair there, and
+shingles of one component alone take no part. A pair passes a
 collision-corrected estimate from the registers first, with a margin of six standard
 deviations, and then the exact comparison of full sets. Links are followed to components by
 large-star/small-star rounds, whose number grows with the logarithm of the longest chain. Bands, sets, shingles
@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from crestline.llm.common import cut, fresh, hot_keys, joined, row_hash
+from crestline.llm.common import cut, fresh, give_back, hot_keys, joined, row_hash
 
 BUCKETS, BAND, BANDS = 252, 6, 42
 _SEED = np.uint64(0x9E3779B97F4A7C15)
@@ -124,6 +124,8 @@ def _signed(docs: DataFrame, width: int) -> DataFrame:
                 keys.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
                 regs.append(sketch(s).tobytes() if len(s) else None)
             yield pd.DataFrame({"doc_id": batch["doc_id"], "x": batch["x"], "n": n, "key": keys, "regs": regs})
+        del words
+        give_back()
 
     return docs.mapInPandas(run, "doc_id long, x long, n long, key binary, regs binary")
 
@@ -160,6 +162,7 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(100 * both >= percent * (len(x) + len(y) - both))
             yield batch.loc[keep, ["a", "b"]]
+        give_back()
 
     a = sets.select(F.col("node").alias("a"), F.col("s").alias("sa"), F.col("r").alias("ra"))
     b = sets.select(F.col("node").alias("b"), F.col("s").alias("sb"), F.col("r").alias("rb"))
@@ -174,7 +177,7 @@ def _by_prefix(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     Two sets with Jaccard similarity t share one of the n - ceil(t n) + 1 rarest shingles of
     each, rarity being any order common to all, and after the first they share, both have enough
-    left to reach the intersection. Components, not sets, are paired by shingle first.
+    left to reach the intersection. Shingles that only one component has are left out before sets are paired.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -191,13 +194,10 @@ def _by_prefix(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     place = F.row_number().over(alone.orderBy("m", "h")) + (F.col("n") - F.count("*").over(alone))
     prefix = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
     kept = cut(shared.withColumn("place", place).where((F.col("place") <= prefix) & (F.col("x") != F.col("y"))).select("node", "c", "n", "h", "place"))
-    groups = kept.select("h", "c").distinct()
-    meet = groups.select("h", F.col("c").alias("ca")).join(groups.select("h", F.col("c").alias("cb")), "h").where("ca < cb")
     side = lambda k: kept.select("h", F.col("node").alias(k), F.col("n").alias(f"n{k}"), F.col("c").alias(f"c{k}"), F.col("place").alias(f"p{k}"))
     # What can still be shared from the first common shingle on must reach the least intersection.
     sized = f"{100 + percent} * (1 + least(na - pa, nb - pb)) >= {percent} * (na + nb)"
-    pairs = meet.join(side("a"), ["h", "ca"]).join(side("b"), ["h", "cb"]).where(sized)
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return side("a").join(side("b"), "h").where(f"a < b and ca <> cb and {sized}").select("a", "b").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
