@@ -37,7 +37,7 @@ from crestline.llm.common import settled
 VOCABULARY, DIM, ONES, REACH = 16_000, 32, 4, 2
 FIT_ROWS, HIDDEN, EPOCHS, SEED = 4000, 24, 60, 20260101
 CUTOFF = 0.7
-_WORDS_KEPT, _TOKENS, _LONGEST = 400_000, 200_000, 64
+_WORDS_KEPT, _TOKENS, _LONGEST = 600_000, 200_000, 64
 _SHAPES = 512
 #: Word counts are told apart in steps of a tenth when the least count of the vocabulary is chosen.
 _STEP = math.log(1.1)
@@ -56,7 +56,7 @@ _KINDS, _TWICE = _Kinds(), re.compile(r"(.)\1+")
 
 
 class Words(dict):
-    """(row of the word's vector or -1, row of its shape's, hash) of each word, remembered in bounded memory.
+    """A number for each word, remembered in bounded memory: the row of its vector plus one (0 without), the row of its shape's, its hash.
 
     The first _SHAPES rows are those of shapes, the next those of the vocabulary.
     """
@@ -64,20 +64,25 @@ class Words(dict):
     def __init__(self, rows: dict[str, int]):
         self.rows = rows
 
-    def __missing__(self, word: str) -> tuple[int, int, int]:
+    def __missing__(self, word: str) -> int:
         if len(self) > _WORDS_KEPT:
             self.clear()
-        shape = _TWICE.sub(r"\1", word.translate(_KINDS)).encode("utf-8", "surrogatepass")
-        value = self.rows.get(word, -1), zlib.crc32(shape) % _SHAPES, zlib.crc32(word.encode("utf-8", "surrogatepass"))
+        shape = b"a" if word.isascii() and word.isalpha() and word.islower() else _TWICE.sub(r"\1", word.translate(_KINDS)).encode("utf-8", "surrogatepass")
+        value = (self.rows.get(word, -1) + 1) << 41 | zlib.crc32(shape) % _SHAPES << 32 | zlib.crc32(word.encode("utf-8", "surrogatepass"))
         if len(word) <= _LONGEST:
             self[word] = value
         return value
 
 
 def tokens(text: str | None, words: Words) -> np.ndarray:
-    """(word row, shape row, hash) of the words of a text: (n, 3)."""
-    found = [words[w] for w in (text or "").split()]
-    return np.array(found, np.int64).reshape(-1, 3)
+    """The numbers of the words of a text."""
+    found = (text or "").split()
+    return np.fromiter(map(words.__getitem__, found), np.int64, len(found))
+
+
+def parts(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The word rows (-1 without), shape rows and hashes of words' numbers."""
+    return (numbers >> 41) - 1, numbers >> 32 & (_SHAPES - 1), numbers & 0xFFFFFFFF
 
 
 def index_entries(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -119,22 +124,26 @@ def corpus_vectors(docs: DataFrame, rows: dict[str, int]) -> np.ndarray:
     shared = docs.sparkSession.sparkContext.broadcast(rows)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words, table = Words(shared.value), np.zeros(size * DIM)
+        words, table = Words(shared.value), np.zeros((size, DIM), np.int64)
 
         def add(ids: list[np.ndarray]) -> None:
-            pad = np.full((REACH, 3), -1)
-            flat = np.concatenate([x for a in ids for x in (a, pad)])
-            # A shape's row is there for every word, so -1 there marks the padding between texts.
-            places, signs = index_entries(flat[:, 2])
-            word = flat[:, 1] >= 0
-            for reach in range(1, REACH + 1):
-                for here, there in ((slice(None, -reach), slice(reach, None)), (slice(reach, None), slice(None, -reach))):
-                    both = word[here] & word[there]
-                    for kind in (0, 1):
-                        row = flat[here, kind]
-                        ok = both & (row >= 0)
-                        for k in range(ONES):
-                            table[:] += np.bincount(row[ok] * DIM + places[there, k][ok], weights=signs[there, k][ok], minlength=len(table))
+            # Numbers of -1 between texts, whose index vectors are zero, keep them apart.
+            pad = np.full(REACH, -1)
+            flat = np.concatenate([pad, *[x for a in ids for x in (a, pad)]])
+            rows, shapes, hashes = parts(flat)
+            places, signs = index_entries(hashes)
+            word, n = flat >= 0, len(flat)
+            entries, at = np.zeros((n, DIM), np.int16), np.arange(n)
+            for k in range(ONES):
+                entries[at, places[:, k]] += (signs[:, k] * word).astype(np.int16)
+            near = sum(entries[REACH + d : n - REACH + d] for d in range(-REACH, REACH + 1) if d)
+            inner = slice(REACH, n - REACH)
+            for row, ok in ((rows[inner], word[inner] & (rows[inner] >= 0)), (shapes[inner], word[inner])):
+                order = np.argsort(row[ok], kind="stable")
+                if len(order):
+                    ranked = row[ok][order]
+                    first = np.flatnonzero(np.diff(ranked, prepend=-1))
+                    table[ranked[first]] += np.add.reduceat(near[ok][order], first, axis=0, dtype=np.int64)
 
         held, n = [], 0
         for batch in batches:
@@ -148,9 +157,8 @@ def corpus_vectors(docs: DataFrame, rows: dict[str, int]) -> np.ndarray:
                         held, n = [], 0
         if held:
             add(held)
-        sums = table.reshape(size, DIM).astype(np.int64)
-        used = np.flatnonzero(sums.any(axis=1))
-        out = pd.DataFrame(sums[used], columns=[f"v{i}" for i in range(DIM)])
+        used = np.flatnonzero(table.any(axis=1))
+        out = pd.DataFrame(table[used], columns=[f"v{i}" for i in range(DIM)])
         out.insert(0, "row", used)
         yield out
 
@@ -170,14 +178,18 @@ def pooled(text: str | None, vectors: np.ndarray, words: Words) -> np.ndarray:
     out = np.zeros(4 * DIM + 2)
     if not len(ids):
         return out
-    for k in (0, 1):
-        used, count = np.unique(ids[:, k][ids[:, k] >= 0], return_counts=True)
-        weight = count / len(ids)
-        rows = vectors[used]
-        mean = weight @ rows
+    different, count = np.unique(ids, return_counts=True)
+    rows, shapes, _ = parts(different)
+    known = rows >= 0
+    of_shape = np.bincount(shapes, weights=count, minlength=_SHAPES)
+    seen = np.flatnonzero(of_shape)
+    for k, (used, n) in enumerate(((rows[known], count[known]), (seen, of_shape[seen]))):
+        weight = n / len(ids)
+        held = vectors[used]
+        mean = weight @ held
         out[2 * k * DIM : (2 * k + 1) * DIM] = mean
-        out[(2 * k + 1) * DIM : (2 * k + 2) * DIM] = np.sqrt(np.maximum(weight @ (rows * rows) - mean * mean, 0))
-    out[4 * DIM] = len(np.unique(ids[:, 2])) / (len(ids) + 10)
+        out[(2 * k + 1) * DIM : (2 * k + 2) * DIM] = np.sqrt(np.maximum(weight @ (held * held) - mean * mean, 0))
+    out[4 * DIM] = len(different) / (len(ids) + 10)
     out[4 * DIM + 1] = np.sum(weight * weight)
     return out
 
