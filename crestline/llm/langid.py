@@ -32,7 +32,7 @@ import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from crestline.llm.common import computed_once, cut, hot_keys, joined, key_of
+from crestline.llm.common import computed_once, cut, give_back, hot_keys, joined, key_of
 
 PER_LANGUAGE, GRAMS, TEXT_WEIGHT, SURE, SEED = 1500, 20_000, 40.0, 0.5, 20260101
 #: How often a declared language or an address suffix is right, and the counts behind a host's and a domain's prior.
@@ -127,7 +127,7 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, grams: int = GRAMS) -
     declared = docs.where("declared is not null and declared <> 'und' and text is not null").select("declared", "text", place.alias("place"))
     texts = declared.groupBy("declared").agg(F.approx_count_distinct("place").alias("n")).collect()  # a row a declared language
     shares = docs.sparkSession.createDataFrame([(r["declared"], per_language / max(1, r["n"])) for r in texts], "declared string, share double")
-    picked = declared.join(shares, "declared").where("place < share").groupBy("declared", "place").agg(F.first("text").alias("text"))
+    picked = declared.join(F.broadcast(shares), "declared").where("place < share").groupBy("declared", "place").agg(F.first("text").alias("text"))
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -165,6 +165,8 @@ def identify(docs: DataFrame, text_weight: float = TEXT_WEIGHT, sure: float = SU
         scorer = Scorer(shared.value, text_weight)
         for batch in texts:
             yield pd.Series([scorer(t) for t in batch])
+        del scorer
+        give_back()
 
     scored = F.pandas_udf(score, "array<double>")
     known = F.lit(names)

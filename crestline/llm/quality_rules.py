@@ -184,7 +184,8 @@ def certified(measures: DataFrame, labels: DataFrame, risk: float = RISK, delta:
 def judged(measures: DataFrame, rules: DataFrame) -> DataFrame:
     """`measures` with `kept`: the base rules and all rules of the stratum hold.
 
-    The rules come to the driver, at most one row a stratum and measure, and are joined by stratum as one row each.
+    The rules come to the driver, at most one row a stratum and measure, and are broadcast as one row a stratum: a
+    stratum has rules from log(delta / tests) / log(1 - risk) labelled good documents on, so labels bound their number.
     """
     found: dict[str, dict[str, float]] = {}
     for r in rules.collect():
@@ -197,7 +198,7 @@ def judged(measures: DataFrame, rules: DataFrame) -> DataFrame:
     passes = F.lit(True)
     for name, column in _measures().items():
         passes = passes & ~F.coalesce(column > F.col(f"_cut_{name}"), F.lit(False))
-    joined = measures.join(table, F.col("lang") == F.col("_stratum"), "left")
+    joined = measures.join(F.broadcast(table), F.col("lang") == F.col("_stratum"), "left")
     return joined.withColumn("kept", ~F.col("base_failed") & passes).drop("_stratum", *[f"_cut_{m}" for m in names])
 
 
