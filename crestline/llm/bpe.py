@@ -35,9 +35,11 @@ import pandas as pd
 import regex
 from pyspark.sql import DataFrame
 
+from crestline.llm.common import give_back
+
 #: Fixed value: the byte-level pre-tokenizer's pattern.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-_UNITS_KEPT, _FITS_KEPT, _DECODED, _NEVER = 500_000, 1_000_000, 8192, 2**31
+_UNITS_KEPT, _FITS_KEPT, _DECODED, _NEVER = 150_000, 300_000, 8192, 2**31
 #: Characters of a window of text, and bytes of a chunk fed to the transducer.
 WINDOW, CHUNK = 65_536, 1024
 _PLAIN = re.compile(r" (?=\S)")
@@ -57,8 +59,9 @@ def byte_letters() -> dict[str, int]:
 class Vocabulary:
     """Merges and tokens of a byte-level BPE file of the tokenizers library."""
 
-    def __init__(self, path: str):
-        spec = json.loads(Path(path).read_text("utf-8"))
+    def __init__(self, source: str | bytes):
+        """`source` is a file's path, or what it holds."""
+        spec = json.loads(Path(source).read_bytes() if isinstance(source, str) else source)
         letters = byte_letters()
         raw = lambda s: bytes(letters[c] for c in s)
         ids = spec["model"]["vocab"]
@@ -67,15 +70,15 @@ class Vocabulary:
         pairs = (m if isinstance(m, list) else m.split(" ") for m in spec["model"]["merges"])
         ranks: dict[tuple[int, int], int] = {}
         self.made: list[int] = []
-        self.parts = [tuple(p) for p in pairs]
-        for rank, (a, b) in enumerate(self.parts):
+        parts = [tuple(p) for p in pairs]
+        for rank, (a, b) in enumerate(parts):
             ranks.setdefault((ids[a], ids[b]), rank)
             self.made.append(ids[a + b])
-        self.rank_of = ranks.get
+        self.ranks = ranks
         self.added = {t["content"]: t["id"] for t in spec["added_tokens"]}
         for text, i in self.added.items():
             self.bytes_of[i] = text.encode()
-        self.lookahead = sufficient_lookahead([(ids[a], ids[b], ids[a + b]) for a, b in self.parts], {i: len(b) for i, b in self.bytes_of.items()})
+        self.lookahead = sufficient_lookahead([(ids[a], ids[b], ids[a + b]) for a, b in parts], {i: len(b) for i, b in self.bytes_of.items()})
 
 
 def sufficient_lookahead(merges: list[tuple[int, int, int]], length: dict[int, int]) -> int:
@@ -180,7 +183,7 @@ class Transducer:
 
     def merged(self, piece: bytes) -> list[int]:
         """The encoding of the bytes of one or two tokens by the merge list itself: the best-ranked, leftmost pair first."""
-        rank_of, made = self.v.rank_of, self.v.made
+        rank_of, made = self.v.ranks.get, self.v.made
         ids = [self.first[c] for c in piece]
         ranks = [rank_of(pair, _NEVER) for pair in zip(ids, ids[1:])]
         while ranks and (best := min(ranks)) != _NEVER:
@@ -264,7 +267,7 @@ class Encoder:
     def __init__(self, vocabulary: Vocabulary):
         self.transducer = Transducer(vocabulary)
         self.pattern = regex.compile(PATTERN)
-        self.added = vocabulary.added
+        self.added = self.transducer.v.added
         self.cut = re.compile("|".join(map(re.escape, sorted(self.added, key=len, reverse=True)))) if self.added else None
         self.units: dict[str, bytes] = {}
         self.tokens: dict[str, bytes] = {}
@@ -351,24 +354,18 @@ class Decoder:
         yield machine.decode(b"", final=True)
 
 
-#: The encoder and decoder of a worker process by file, so that what they remember serves its next tasks.
-_KEPT: dict[str, tuple[Encoder, Decoder]] = {}
-
-
-def _tools(path: str, vocabulary: Vocabulary) -> tuple[Encoder, Decoder]:
-    if path not in _KEPT:
-        _KEPT.clear()
-        _KEPT[path] = Encoder(vocabulary), Decoder(vocabulary)
-    return _KEPT[path]
-
-
 def _mapped(docs: DataFrame, path: str, columns: list[str], schema: str, make) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(Vocabulary(path))
+    # The file's bytes are broadcast; what is made of them is freed with the task, where a worker would keep it for good.
+    shared = docs.sparkSession.sparkContext.broadcast(Path(path).read_bytes())
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder, decoder = _tools(path, shared.value)
+        batch = None
+        vocabulary = Vocabulary(shared.value)
+        encoder, decoder = Encoder(vocabulary), Decoder(vocabulary)
         for batch in batches:
             yield make(batch, encoder, decoder)
+        del vocabulary, encoder, decoder, batch
+        give_back()
 
     return docs.select(*columns, "text").mapInPandas(run, schema)
 
@@ -423,10 +420,10 @@ def encoded(docs: DataFrame, path: str) -> DataFrame:
 
 def decoded(rows: DataFrame, path: str) -> DataFrame:
     """doc_id and text of rows of `encoded`."""
-    shared = rows.sparkSession.sparkContext.broadcast(Vocabulary(path))
+    shared = rows.sparkSession.sparkContext.broadcast(Path(path).read_bytes())
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        decoder = _tools(path, shared.value)[1]
+        decoder = Decoder(Vocabulary(shared.value))
         for batch in batches:
             yield pd.DataFrame({"doc_id": batch["doc_id"], "text": ["".join(decoder.pieces((x or b"",))) for x in batch["ids"]]})
 
