@@ -1,72 +1,65 @@
-"""Settings by dotted names, with checks of their values."""
+"""Settings: a table of names with their defaults and rules. A configuration is the defaults with some values replaced."""
 
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping
-from copy import deepcopy
+from collections.abc import Callable, Mapping
+from dataclasses import dataclass, replace
 from pathlib import Path
+from types import MappingProxyType
 from typing import Any
 
-#: Settings where a file gives none.
-DEFAULTS: dict[str, Any] = {
-    "calendar": {"interval_minutes": 60, "fiscal_start_month": 11},
-    "model": {"quantiles": [0.01, 0.05, 0.1, 0.25, 0.5, 0.75, 0.9, 0.95, 0.99], "backend": "quantile_ridge"},
-    "simulation": {"paths": 10_000, "chunk": 500, "dependence": "bootstrap", "block_days": 1, "seed": 20260101},
-}
 DEPENDENCE = ("bootstrap", "copula")
+_LEVELS = (0.01, 0.05, 0.1, 0.25, 0.5, 0.75, 0.9, 0.95, 0.99)
 
+#: Every setting by its full name.
+DEFAULTS: Mapping[str, Any] = MappingProxyType({
+    "calendar.interval_minutes": 60, "calendar.fiscal_start_month": 11,
+    "model.quantiles": _LEVELS, "model.backend": "quantile_ridge",
+    "simulation.paths": 10_000, "simulation.chunk": 500, "simulation.dependence": "bootstrap", "simulation.block_days": 1, "simulation.seed": 20260101,
+})
 
+
+def _levels_ascend(q: Any) -> bool:
+    return bool(q) and all(a < b for a, b in zip((0, *q), (*q, 1))) and 0.5 in q
+
+
+#: What must hold: the settings a rule reads, the rule, and what to say if it doesn't hold.
+RULES: list[tuple[tuple[str, ...], Callable[..., bool], str]] = [
+    (("calendar.interval_minutes",), lambda m: m > 0 and 1440 % m == 0, "a day must be a whole number of intervals"),
+    (("model.quantiles",), _levels_ascend, "levels must ascend between 0 and 1 and include the median"),
+    (("simulation.chunk", "simulation.paths"), lambda chunk, paths: 0 < chunk <= paths, "a chunk is at most all paths"),
+    (("simulation.dependence",), DEPENDENCE.__contains__, f"choose from {', '.join(DEPENDENCE)}"),
+]
+
+
+@dataclass(frozen=True)
 class Config:
-    """Nested settings; never changed in place."""
+    """Values by full name, below a prefix."""
 
-    def __init__(self, values: Mapping[str, Any]):
-        self._values = deepcopy(dict(values))
+    values: Mapping[str, Any] = DEFAULTS
+    prefix: str = ""
 
     def get(self, name: str, default: Any = None) -> Any:
-        at: Any = self._values
-        for part in name.split("."):
-            if not isinstance(at, Mapping) or part not in at:
-                return default
-            at = at[part]
-        return deepcopy(at)
+        return self.values.get(self.prefix + name, default)
 
     def section(self, name: str) -> Config:
-        found = self.get(name)
-        if not isinstance(found, Mapping):
-            raise KeyError(f"no section {name!r}")
-        return Config(found)
-
-    def with_overrides(self, overrides: Mapping[str, Any]) -> Config:
-        """A copy with values replaced by dotted names."""
-        out = deepcopy(self._values)
-        for name, value in overrides.items():
-            *path, last = name.split(".")
-            at = out
-            for part in path:
-                at = at.setdefault(part, {})
-            at[last] = value
-        return Config(out)
-
-    def validate(self) -> Config:
-        q, minutes = self.get("model.quantiles"), self.get("calendar.interval_minutes")
-        wrong = []
-        if not minutes or 1440 % minutes:
-            wrong.append("calendar.interval_minutes must divide a day")
-        if not q or q != sorted(set(q)) or 0.5 not in q or not 0 < q[0] <= q[-1] < 1:
-            wrong.append("model.quantiles must ascend within 0 and 1 and have 0.5")
-        if self.get("simulation.chunk") > self.get("simulation.paths"):
-            wrong.append("simulation.chunk is more than simulation.paths")
-        if self.get("simulation.dependence") not in DEPENDENCE:
-            wrong.append(f"simulation.dependence must be one of {DEPENDENCE}")
-        if wrong:
-            raise ValueError("; ".join(wrong))
-        return self
+        inner = replace(self, prefix=f"{self.prefix}{name}.")
+        if not any(k.startswith(inner.prefix) for k in self.values):
+            raise KeyError(inner.prefix)
+        return inner
+
+    def with_overrides(self, changes: Mapping[str, Any]) -> Config:
+        return replace(self, values=MappingProxyType({**self.values, **{self.prefix + k: v for k, v in changes.items()}}))
+
+    def problems(self) -> list[str]:
+        return [f"{' and '.join(names)}: {said}" for names, holds, said in RULES if not holds(*map(self.values.get, names))]
 
 
 def load_config(path: str | None = None, overrides: Mapping[str, Any] | None = None) -> Config:
-    """The defaults, replaced by a JSON file's values by dotted name, replaced by `overrides`."""
-    out = Config(DEFAULTS)
-    if path:
-        out = out.with_overrides(json.loads(Path(path).read_text()))
-    return out.with_overrides(overrides or {}).validate()
+    """The defaults with a JSON file's values and then `overrides` in their place, both by full name."""
+    given = json.loads(Path(path).read_bytes()) if path else {}
+    config = Config().with_overrides({**given, **(overrides or {})})
+    if found := config.problems():
+        raise ValueError("\n".join(found))
+    return config

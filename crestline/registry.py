@@ -1,89 +1,119 @@
-"""Runs on disk: a folder with a manifest each, hashed artefacts, and a pointer to the latest of its kind."""
+"""Runs as logs: each run is a folder with a log of records, and everything known of a run is read from its log.
+
+A log is a file of JSON lines, each a record of one kind: `begin`, `fact` (a value of a part), `file` (an artefact with
+size and hash) and `end`. Nothing is rewritten; a later record of the same thing stands. The latest run of a kind is
+the one whose `end` came last, so there is no pointer that could be wrong.
+"""
 
 from __future__ import annotations
 
-import hashlib
 import json
-import platform
-from collections.abc import Iterable, Mapping
-from dataclasses import dataclass, field
-from datetime import datetime, timezone
+import time
+from collections import defaultdict
+from collections.abc import Iterable, Iterator, Mapping
+from dataclasses import dataclass
+from hashlib import sha256
 from pathlib import Path
 from typing import Any
 
-MANIFEST, LATEST = "manifest.json", "LATEST"
+LOG = "records.jsonl"
 
 
-def digest(path: Path) -> str:
+def _seal(path: Path) -> dict[str, Any]:
+    """Size and hash of a file, read in blocks."""
+    h, size = sha256(), 0
     with path.open("rb") as f:
-        return hashlib.file_digest(f, "sha256").hexdigest()
-
-
-def _now() -> str:
-    return datetime.now(timezone.utc).isoformat(timespec="seconds")
+        while block := f.read(4 << 20):
+            h.update(block)
+            size += len(block)
+    return {"bytes": size, "sha256": h.hexdigest()}
 
 
 @dataclass
 class Run:
     folder: Path
-    manifest: dict[str, Any] = field(default_factory=dict)
+
+    def tell(self, kind: str, **values: Any) -> None:
+        """Appends a record."""
+        with (self.folder / LOG).open("a") as f:
+            f.write(json.dumps({"kind": kind, "time": time.time(), **values}, default=str) + "\n")
+
+    def records(self, kind: str | None = None) -> Iterator[dict[str, Any]]:
+        for line in (self.folder / LOG).read_text().splitlines():
+            record = json.loads(line)
+            if kind in (None, record["kind"]):
+                yield record
 
     def note(self, part: str, values: Mapping[str, Any]) -> None:
-        """Adds to a part of the manifest, such as 'metrics', 'inputs' or 'record'."""
-        self.manifest.setdefault(part, {}).update(values)
+        """States values of a part, such as 'metrics', 'inputs' or 'record'."""
+        for name, value in values.items():
+            self.tell("fact", part=part, name=name, value=value)
 
     def add(self, name: str, role: str) -> None:
-        """Records a file of the run, or each file of a folder such as Spark writes, with size and hash."""
-        at = self.folder / name
-        files = sorted(p for p in at.rglob("*") if p.is_file()) if at.is_dir() else [at]
-        self.manifest.setdefault("artefacts", []).extend(
-            {"role": role, "path": p.relative_to(self.folder).as_posix(), "bytes": p.stat().st_size, "sha256": digest(p)} for p in files
-        )
-
-    def write_json(self, name: str, value: Any, role: str | None = None) -> Path:
-        out = self.folder / name
-        out.parent.mkdir(parents=True, exist_ok=True)
-        out.write_text(json.dumps(value, indent=1, default=str))
+        """States a file of the run, or each file of a folder such as Spark writes."""
+        for path in sorted(p for p in [self.folder / name, *(self.folder / name).rglob("*")] if p.is_file()):
+            self.tell("file", role=role, path=str(path.relative_to(self.folder)), **_seal(path))
+
+    def write_json(self, name: str, value: Any, role: str = "") -> Path:
+        path = self.folder.joinpath(name)
+        path.parent.mkdir(exist_ok=True, parents=True)
+        with path.open("w") as f:
+            json.dump(value, f, default=str)
         self.add(name, role or name)
-        return out
-
-    def finish(self, status: str = "ok", note: str | None = None) -> None:
-        self.manifest |= {"status": status, "finished_at": _now()} | ({"note": note} if note else {})
-        (self.folder / MANIFEST).write_text(json.dumps(self.manifest, indent=1, default=str))
-        (self.folder.parent / LATEST).write_text(self.folder.name)
+        return path
+
+    def finish(self, status: str = "ok", note: str = "") -> None:
+        self.tell("end", status=status, note=note)
+
+    @property
+    def manifest(self) -> dict[str, Any]:
+        """What the log comes to: the facts of each part by name, the files by path, and how the run began and ended."""
+        parts: dict[str, Any] = defaultdict(dict)
+        for r in self.records():
+            if r["kind"] == "fact":
+                parts[r["part"]][r["name"]] = r["value"]
+            elif r["kind"] == "file":
+                parts["files"][r["path"]] = r
+            else:
+                parts[r["kind"]] = r
+        return dict(parts)
+
+    def faults(self) -> list[str]:
+        """Files that are missing or not as they were stated."""
+        files = self.manifest.get("files", {})
+        state = {p: _seal(self.folder / p) if (self.folder / p).is_file() else None for p in files}
+        return [f"{'missing' if now is None else 'changed'}: {p}" for p, now in state.items() if now is None or now["sha256"] != files[p]["sha256"]]
 
 
 class Registry:
+    """Runs by kind below a folder that driver and executors share."""
+
     def __init__(self, root: str | Path = "runs"):
         self.root = Path(root)
 
-    def start(self, kind: str, run_id: str | None = None, config: Any = None, tags: Iterable[str] = ()) -> Run:
-        run_id = run_id or datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S.%fZ")
-        folder = self.root / kind / run_id
-        folder.mkdir(parents=True, exist_ok=True)
-        return Run(folder, {"run_id": run_id, "kind": kind, "started_at": _now(), "status": "running", "tags": list(tags), "python": platform.python_version(), "config": config, "artefacts": []})
+    def _all(self, kind: str) -> dict[str, Run]:
+        return {log.parent.name: Run(log.parent) for log in sorted(self.root.joinpath(kind).glob(f"*/{LOG}"))}
 
-    def find(self, kind: str, run_id: str = "latest") -> Run:
-        if run_id == "latest":
-            pointer = self.root / kind / LATEST
-            if not pointer.exists():
-                raise FileNotFoundError(f"no finished run of {kind!r} in {self.root}")
-            run_id = pointer.read_text().strip()
-        at = self.root / kind / run_id / MANIFEST
-        if not at.exists():
-            raise FileNotFoundError(f"no run {run_id!r} of {kind!r} in {self.root}")
-        return Run(at.parent, json.loads(at.read_text()))
+    def start(self, kind: str, run_id: str = "", config: Any = None, tags: Iterable[str] = ()) -> Run:
+        name = run_id or time.strftime("%Y%m%d-%H%M%S", time.gmtime()) + f"-{time.time_ns() % 10**9:09d}"
+        run = Run(self.root / kind / name)
+        run.folder.mkdir(parents=True, exist_ok=True)
+        run.tell("begin", run=name, of=kind, tags=[*tags], config=config)
+        return run
 
     def runs(self, kind: str) -> list[str]:
-        return sorted(p.parent.name for p in (self.root / kind).glob(f"*/{MANIFEST}"))
+        return list(self._all(kind))
+
+    def find(self, kind: str, run_id: str = "latest") -> Run:
+        """A run by its name; 'latest' is the run that ended last."""
+        known = self._all(kind)
+        if run_id != "latest":
+            ended = {run_id: 0.0} if run_id in known else {}
+        else:
+            ended = {name: r["time"] for name, run in known.items() for r in run.records("end")}
+        if not ended:
+            raise FileNotFoundError(f"{self.root / kind} has no run {run_id!r}")
+        return known[max(ended, key=lambda name: ended[name])]
 
     def verify(self, kind: str, run_id: str = "latest") -> list[str]:
-        """What is wrong with a run's artefacts; empty if nothing is."""
-        run, wrong = self.find(kind, run_id), []
-        for a in run.manifest["artefacts"]:
-            p = run.folder / a["path"]
-            if not p.exists():
-                wrong.append(f"missing: {a['path']}")
-            elif digest(p) != a["sha256"]:
-                wrong.append(f"changed: {a['path']}")
-        return wrong
+        return self.find(kind, run_id).faults()

@@ -94,14 +94,10 @@ def conform(df: DataFrame, table: str, grid: Grid = Grid()) -> DataFrame:
 
 def date_windows(table: str, start: date, end: date, days: int = 30) -> list[tuple[date, date]]:
     """Half-open windows that cover start to end, inclusive; one for reference tables."""
-    stop = end + timedelta(days=1)
-    if table in REFERENCE:
-        return [(start, stop)]
-    out, low = [], start
-    while low < stop:
-        out.append((low, min(stop, low + timedelta(days=days))))
-        low = out[-1][1]
-    return out
+    span = (end - start).days + 1
+    step = span if table in REFERENCE else days
+    edges = [start + timedelta(days=d) for d in (*range(0, span, max(1, step)), span)]
+    return list(zip(edges, edges[1:]))
 
 
 @register_source("jdbc")
@@ -219,24 +215,37 @@ class TableSpec:
     grain: str
 
 
+def _matches(catalogue: Iterable[TableSpec], used: dict[str, str]) -> list[tuple[str, str, TableSpec | None]]:
+    """(lake table, source table, its entry): names are compared without case, schema and a view's final V; the longest shared start wins."""
+    plain = lambda name: re.sub(r"^.*\.", "", name.strip()).upper()
+    out = []
+    for table, source in used.items():
+        name = plain(source)
+        # Exact names rank above those of which one is the start of the other.
+        ranked = [(k == name, len(k), s) for s in catalogue for k in [plain(s.name)] if name.startswith(k) or k.startswith(re.sub(r"(?<=.)V$", "", name))]
+        out.append((table, source, max(ranked, key=lambda r: r[:2])[2] if ranked else None))
+    return out
+
+
 def find_spec(catalogue: Iterable[TableSpec], name: str) -> TableSpec | None:
-    """By name without regard to case, schema or the suffix of a view."""
-    bare = name.strip().upper().rsplit(".", 1)[-1]
-    known = {s.name: s for s in catalogue}
-    near = [s for k, s in known.items() if bare.startswith(k) or k.startswith(bare.rstrip("V") or bare)]
-    return known.get(bare) or (near[0] if near else None)
+    """A table's entry by its name."""
+    return _matches(list(catalogue), {"": name})[0][2]
+
+
+#: What is wrong with a set of matches: whether it is an error, what to say, and the matches it says it of.
+ROLE_CHECKS = [
+    (True, "not a spine, so as intervals it would count the same load twice", lambda ms: [m for m in ms if m[0] == "intervals" and m[2] and m[2].role != "spine"]),
+    (True, "one of several spines, which would count the same load twice", lambda ms: [m for m in ms if m[2] and m[2].role == "spine"] if len({m[2].name for m in ms if m[2] and m[2].role == "spine"}) > 1 else []),
+    (False, "not in the catalogue", lambda ms: [m for m in ms if m[2] is None]),
+    (False, "without times within the day", lambda ms: [m for m in ms if m[0] == "intervals" and m[2] and m[2].grain not in ("interval", "hour")]),
+    (False, "no spine among them", lambda ms: [] if any(m[2] and m[2].role == "spine" for m in ms) else ms[:1]),
+]
 
 
 def validate_roles(catalogue: Iterable[TableSpec], used: dict[str, str]) -> list[str]:
-    """Warnings on a map of lake tables to source tables; an error if it would count the same load twice."""
-    specs = {t: find_spec(catalogue, n) for t, n in used.items()}
-    spines = {s.name for s in specs.values() if s and s.role == "spine"}
-    main = specs.get("intervals")
-    if main and main.role != "spine":
-        raise ValueError(f"{main.name} is a {main.role} table: as intervals it would count load twice")
-    if len(spines) > 1:
-        raise ValueError(f"more than one spine: {sorted(spines)}")
-    out = [f"{used[t]}: not in the catalogue" for t, s in specs.items() if s is None]
-    if main and main.grain not in ("interval", "hour"):
-        out.append(f"{main.name} has no times within the day")
-    return out if spines else [*out, "no spine"]
+    """Warnings on a map of lake tables to source tables, by ROLE_CHECKS; an error if it would count the same load twice."""
+    matches = _matches(list(catalogue), used)
+    found = [(fatal, f"{source}: {said}") for fatal, said, check in ROLE_CHECKS for _, source, _ in check(matches)]
+    if fatal := [said for is_fatal, said in found if is_fatal]:
+        raise ValueError("; ".join(fatal))
+    return [said for _, said in found]
