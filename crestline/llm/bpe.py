@@ -24,6 +24,7 @@ from __future__ import annotations
 import codecs
 import hashlib
 import json
+import pickle
 import re
 import sys
 from array import array
@@ -39,7 +40,7 @@ from crestline.llm.common import give_back
 
 #: Fixed value: the byte-level pre-tokenizer's pattern.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-_UNITS_KEPT, _FITS_KEPT, _DECODED, _NEVER = 150_000, 300_000, 8192, 2**31
+_UNITS_KEPT, _FITS_KEPT, _DECODED, _NEVER = 400_000, 600_000, 8192, 2**31
 #: Characters of a window of text, and bytes of a chunk fed to the transducer.
 WINDOW, CHUNK = 65_536, 1024
 _PLAIN = re.compile(r" (?=\S)")
@@ -264,8 +265,8 @@ class Transducer:
 class Encoder:
     """Texts to packed little-endian 32-bit ids, with frequent units remembered in bounded memory."""
 
-    def __init__(self, vocabulary: Vocabulary):
-        self.transducer = Transducer(vocabulary)
+    def __init__(self, machine: Vocabulary | Transducer):
+        self.transducer = machine if isinstance(machine, Transducer) else Transducer(machine)
         self.pattern = regex.compile(PATTERN)
         self.added = self.transducer.v.added
         self.cut = re.compile("|".join(map(re.escape, sorted(self.added, key=len, reverse=True)))) if self.added else None
@@ -355,16 +356,16 @@ class Decoder:
 
 
 def _mapped(docs: DataFrame, path: str, columns: list[str], schema: str, make) -> DataFrame:
-    # The file's bytes are broadcast; what is made of them is freed with the task, where a worker would keep it for good.
-    shared = docs.sparkSession.sparkContext.broadcast(Path(path).read_bytes())
+    # The tables are broadcast as bytes; what a task makes of them is freed with it, where a worker would keep it for good.
+    shared = docs.sparkSession.sparkContext.broadcast(pickle.dumps(Transducer(Vocabulary(path)), protocol=5))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         batch = None
-        vocabulary = Vocabulary(shared.value)
-        encoder, decoder = Encoder(vocabulary), Decoder(vocabulary)
+        machine = pickle.loads(shared.value)
+        encoder, decoder = Encoder(machine), Decoder(machine.v)
         for batch in batches:
             yield make(batch, encoder, decoder)
-        del vocabulary, encoder, decoder, batch
+        del machine, encoder, decoder, batch
         give_back()
 
     return docs.select(*columns, "text").mapInPandas(run, schema)
