@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from crestline.functions import calendar as cal
 from crestline.operators import backtest as bat
+from crestline.operators import calibration as con
 from crestline.operators import dependence as dep
 from crestline.operators import diagnostics as dia
 from crestline.operators import evaluation as eva
@@ -253,7 +254,7 @@ def eva_coverage(spark, sf_dir):
 o AS (SELECT app_id, tau, list(s ORDER BY s) AS l, count(*) AS n FROM s GROUP BY ALL), p AS (SELECT tau, list(s ORDER BY s) AS l, count(*) AS n FROM s GROUP BY ALL)
 SELECT o.app_id, o.tau, round(CASE WHEN o.n < 200 THEN p.l[ceil(round(least(1, ceil((p.n + 1) * p.tau) / p.n) * (p.n - 1), 9))::INT + 1] ELSE o.l[ceil(round(least(1, ceil((o.n + 1) * o.tau) / o.n) * (o.n - 1), 9))::INT + 1] END, 6) AS adj, o.n < 200 AS used_pooled, o.n AS n_scores FROM o JOIN p USING (tau)""")
 def con_conformal(spark, sf_dir):
-    return mod.conformal(_scored(spark, sf_dir))
+    return con.one_sided(_scored(spark, sf_dir))
 
 
 @query(f"""WITH {P2}, {DAILY}, x AS (SELECT *, max(daily_peak) OVER m AS mp, row_number() OVER (PARTITION BY lpar, fiscal_year, year(business_date), month(business_date) ORDER BY business_date) = 1 AS mf,
@@ -363,6 +364,92 @@ def eva_interval_score(spark, sf_dir):
     return _wide(spark, sf_dir).groupBy("app_id").agg(F.count("*").alias("n"), F.avg(eva.interval_score(F.col("y"), q[0], q[2], 0.8)).alias("interval_score"))
 
 
+_HELD = f"{P3}, held AS (SELECT DISTINCT business_date FROM p3 ORDER BY business_date DESC LIMIT 60)"
+
+
+@query(f"WITH {_HELD} SELECT app_id, business_date, interval_idx, business_date IN (SELECT business_date FROM held) AS held_out FROM p3")
+def con_split(spark, sf_dir):
+    train, held = con.split_holdout(panels.thirds(spark, sf_dir), 60)
+    both = train.withColumn("held_out", F.lit(False)).unionByName(held.withColumn("held_out", F.lit(True)))
+    return both.select("app_id", "business_date", "interval_idx", "held_out")
+
+
+@query(f"WITH {_LABELLED} SELECT app_id, business_date, interval_idx, round(sum(mips), 6) AS y FROM lab JOIN p1 USING (app_id, lpar, business_date, interval_idx) WHERE event_label IS NULL GROUP BY ALL")
+def con_observed(spark, sf_dir):
+    return con.observed(_labelled(spark, sf_dir))
+
+
+@query(f"WITH {_WIDE} SELECT app_id, business_date, interval_idx, round(greatest(q[1] - y, y - q[3]), 6) AS score FROM wide")
+def con_scores(spark, sf_dir):
+    q = F.col("q")
+    return _wide(spark, sf_dir).select("app_id", "business_date", "interval_idx", con.outside(F.col("y"), q[0], q[2]).alias("score"))
+
+
+#: The element of a list of n scores, ascending, that a level picks.
+_PICK = "{0}.l[ceil(round(least(1, ceil(({0}.n + 1) * {1}) / {0}.n) * ({0}.n - 1), 9))::INT + 1]"
+
+
+@query(f"""WITH {_WIDE}, s AS (SELECT app_id, greatest(q[1] - y, y - q[3]) AS s FROM wide), o AS (SELECT app_id, list(s ORDER BY s) AS l, count(*) AS n FROM s GROUP BY ALL), p AS (SELECT list(s ORDER BY s) AS l, count(*) AS n FROM s)
+SELECT app_id, tau, round(side * CASE WHEN o.n < 200 THEN {_PICK.format('p', '.8')} ELSE {_PICK.format('o', '.8')} END, 6) + 0 AS adj, o.n < 200 AS used_pooled, o.n AS n_scores FROM o, p, (VALUES (.1::DOUBLE, -1), (.5::DOUBLE, 0), (.9::DOUBLE, 1)) t(tau, side)""")
+def con_symmetric(spark, sf_dir):
+    return con.symmetric(_wide(spark, sf_dir), TAUS)
+
+
+@query(f"""WITH {_WIDE}, long AS (SELECT app_id, tau, y - q[i] AS s FROM wide, (VALUES (.1::DOUBLE, 1), (.5::DOUBLE, 2), (.9::DOUBLE, 3)) t(tau, i)),
+o AS (SELECT app_id, tau, list(s ORDER BY s) AS l, count(*) AS n FROM long GROUP BY ALL), p AS (SELECT tau, list(s ORDER BY s) AS l, count(*) AS n FROM long GROUP BY ALL),
+a AS (SELECT o.app_id, list(CASE WHEN o.n < 200 THEN {_PICK.format('p', 'p.tau')} ELSE {_PICK.format('o', 'o.tau')} END ORDER BY o.tau) AS a FROM o JOIN p ON o.tau = p.tau GROUP BY ALL),
+z AS (SELECT app_id, business_date, interval_idx, list_sort([greatest(q[1] + a[1], 0), greatest(q[2] + a[2], 0), greatest(q[3] + a[3], 0)]) AS q FROM wide JOIN a USING (app_id))
+SELECT app_id, business_date, interval_idx, tau, round(q[i], 6) AS value FROM z, (VALUES (.1::DOUBLE, 1), (.5::DOUBLE, 2), (.9::DOUBLE, 3)) t(tau, i)""")
+def con_shifted(spark, sf_dir):
+    wide = _wide(spark, sf_dir)
+    shifts = con.one_sided(qua.to_long(wide, TAUS, keep=["y"]).withColumnRenamed("value", "q"))
+    return qua.to_long(con.shifted(wide, shifts, TAUS), TAUS)
+
+
+def _by_weekday(train: DataFrame, ahead: list[date]) -> DataFrame:
+    """A cube of the quantiles by app, interval and weekday of the last 250 dates."""
+    q = F.percentile("mips", F.array(*map(F.lit, TAUS))).alias("q")
+    lanes = mod.recent(train, 250).groupBy("app_id", "interval_idx", F.weekday("business_date").alias("dow")).agg(q)
+    days = train.sparkSession.createDataFrame([(d,) for d in ahead], "business_date date").withColumn("dow", F.weekday("business_date"))
+    return lanes.join(F.broadcast(days), "dow").drop("dow")
+
+
+@query(f"""WITH {_HELD}, tr AS (SELECT * FROM p3 WHERE business_date NOT IN (SELECT business_date FROM held)),
+m AS (SELECT app_id, interval_idx, isodow(business_date) AS dow, quantile_cont(mips, [.1, .5, .9]) AS q FROM tr WHERE business_date IN {_LAST.format('tr')} GROUP BY ALL),
+te AS (SELECT p3.app_id, p3.mips AS y, q FROM p3 JOIN m ON m.app_id = p3.app_id AND m.interval_idx = p3.interval_idx AND m.dow = isodow(business_date) WHERE business_date IN (SELECT business_date FROM held)),
+long AS (SELECT app_id, tau, y - q[i] AS s FROM te, (VALUES (.1::DOUBLE, 1), (.5::DOUBLE, 2), (.9::DOUBLE, 3)) t(tau, i)),
+o AS (SELECT app_id, tau, list(s ORDER BY s) AS l, count(*) AS n FROM long GROUP BY ALL), p AS (SELECT tau, list(s ORDER BY s) AS l, count(*) AS n FROM long GROUP BY ALL),
+a AS (SELECT o.app_id, list(CASE WHEN o.n < 200 THEN {_PICK.format('p', 'p.tau')} ELSE {_PICK.format('o', 'o.tau')} END ORDER BY o.tau) AS a FROM o JOIN p ON o.tau = p.tau GROUP BY ALL),
+z AS (SELECT y, q AS raw, list_sort([greatest(q[1] + a[1], 0), greatest(q[2] + a[2], 0), greatest(q[3] + a[3], 0)]) AS q FROM te JOIN a USING (app_id))
+SELECT tau, count(*) AS n, round(avg((y <= raw[i])::INT), 6) AS before, round(avg((y <= q[i])::INT), 6) AS after FROM z, (VALUES (.1::DOUBLE, 1), (.5::DOUBLE, 2), (.9::DOUBLE, 3)) t(tau, i) GROUP BY tau""")
+def con_calibrate(spark, sf_dir):
+    return con.calibrate(panels.thirds(spark, sf_dir), 60, _by_weekday, TAUS).coverage()
+
+
+@query(f"""WITH {_LABELLED}, r AS (SELECT * FROM lab JOIN p1 USING (app_id, lpar, business_date, interval_idx)), k AS (SELECT *, event_label IS NULL AND mips > 2 * avg(mips) OVER (PARTITION BY app_id) AS is_spike FROM r)
+SELECT app_id, event_label AS label, count(*) AS intervals, count(DISTINCT business_date) AS days, round(max(mips), 6) AS max_mips FROM k WHERE event_label IS NOT NULL GROUP BY ALL
+UNION ALL SELECT app_id, 'UNEXPLAINED_SPIKE', count(*), count(DISTINCT business_date), round(max(mips), 6) FROM k WHERE is_spike GROUP BY ALL""")
+def evt_report(spark, sf_dir):
+    rows = _labelled(spark, sf_dir)
+    high = F.col("mips") > 2 * F.avg("mips").over(Window.partitionBy("app_id"))
+    return ing.anomaly_report(rows.withColumn("is_spike", ~F.col("is_anomaly") & high))
+
+
+@query(f"""WITH {P1}, s AS (SELECT min(business_date) AS a, max(business_date) AS b, count(DISTINCT app_id) AS apps, count(*) AS present FROM p1),
+d AS (SELECT count(*) AS n FROM (SELECT unnest(generate_series(a, b, INTERVAL 1 DAY)) AS d FROM s) WHERE isodow(d) <= 5) SELECT n * apps * 9 AS expected, present, n * apps * 9 - present AS missing FROM s, d""")
+def ing_missing(spark, sf_dir):
+    return ing.missing(panels.hourly(spark, sf_dir))
+
+
+@query(f"""WITH {P3}, d AS (SELECT app_id, business_date, median(mips) AS m FROM p3 GROUP BY ALL HAVING median(mips) > 0), x AS (SELECT *, (business_date - min(business_date) OVER (PARTITION BY app_id)) / 365.25 AS x FROM d),
+g AS (SELECT app_id, greatest(-.15, least(.4, CASE WHEN count(*) >= 30 THEN regr_slope(ln(m), x) ELSE 0 END)) AS growth FROM x GROUP BY app_id), r AS (SELECT * FROM (VALUES ('A', .1::DOUBLE), ('R', -.05::DOUBLE)) t(app_id, rate))
+SELECT app_id, business_date, interval_idx, round(mips * CASE WHEN rate IS NULL THEN 1 ELSE exp((rate - growth) * (business_date - DATE '1997-12-31') / 365.25) END * CASE WHEN app_id = 'A' THEN 1.3 ELSE 1 END, 6) AS value FROM p3 JOIN g USING (app_id) LEFT JOIN r USING (app_id)""")
+def scn_growth(spark, sf_dir):
+    rows = panels.thirds(spark, sf_dir)
+    f = rows.select("app_id", "business_date", "interval_idx", F.col("mips").alias("value"))
+    return mod.scenario(f, {"A": 1.3}, {}, ["A", "N", "R"], {"A": 0.1, "R": -0.05}, mod.growth(rows), date(1997, 12, 31))
+
+
 _ROLLING = f"""{P3}, d AS (SELECT business_date, row_number() OVER (ORDER BY business_date) - 1 AS pos, count(*) OVER () AS n FROM (SELECT DISTINCT business_date FROM p3)),
 f AS (SELECT row_number() OVER (ORDER BY o.pos) - 1 AS fold, o.business_date AS origin, e.business_date AS until FROM d o JOIN d e ON e.pos = o.pos + 60 WHERE o.pos IN (o.n - 61, o.n - 121, o.n - 181) AND o.pos >= 250),
 tr AS (SELECT fold, app_id, interval_idx, business_date, isodow(business_date) AS dow, mips, lag(mips) OVER (PARTITION BY fold, app_id, interval_idx, isodow(business_date) ORDER BY business_date) AS prev FROM p3 JOIN f ON business_date <= origin),

@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from crestline.functions.calendar import Grid, business_day, fiscal_year, interval_index
 
 
+#: Fixed value: the label of spikes that no event explains.
+UNEXPLAINED = "UNEXPLAINED_SPIKE"
+
+
 def scope(rows: DataFrame, environments: list[str], lpars: list[str] | None = None, grid: Grid = Grid()) -> DataFrame:
     """Rows of the environments (and lpars) in prime time, with business_date, interval_idx and fiscal_year."""
     df = rows.where(F.col("environment").isin(environments))
@@ -75,8 +79,12 @@ def label(rows: DataFrame, windows: DataFrame) -> DataFrame:
     """Rows (ts, app_id, lpar) with event_label and is_anomaly from half-open windows; '*' matches all, the first event in order wins.
 
     Windows are spread over the hours they touch, so the join has an equality key; each row meets the few
-    windows of its own hour.
+    windows of its own hour. Rows that come with is_anomaly set keep it and their own event_label, whatever windows
+    say; on others a label without is_anomaly stays where no window says otherwise.
     """
+    for c, kind in (("is_anomaly", "boolean"), ("event_label", "string")):
+        if c not in rows.columns:
+            rows = rows.withColumn(c, F.lit(None).cast(kind))
     hour = F.explode(F.sequence(F.date_trunc("hour", "start_ts").cast("timestamp_ntz"), F.col("end_ts"), F.expr("INTERVAL 1 HOUR")))
     w = windows.select(
         "event_seq", F.col("event_type").alias("kind"), F.col("lpar").alias("w_lpar"), F.col("app_id").alias("w_app"), "start_ts", "end_ts", hour.alias("hour")
@@ -85,12 +93,18 @@ def label(rows: DataFrame, windows: DataFrame) -> DataFrame:
     hit = keyed.select("hour", "ts", "app_id", "lpar").distinct().join(w, "hour").where(
         (F.col("ts") >= F.col("start_ts")) & (F.col("ts") < F.col("end_ts")) & F.col("w_lpar").isin("*") | (F.col("ts") >= F.col("start_ts")) & (F.col("ts") < F.col("end_ts")) & (F.col("w_lpar") == F.col("lpar"))
     ).where((F.col("w_app") == "*") | (F.col("w_app") == F.col("app_id")))
-    first = hit.groupBy("ts", "app_id", "lpar").agg(F.min_by("kind", "event_seq").alias("event_label"))
-    return keyed.drop("hour").join(first, ["ts", "app_id", "lpar"], "left").withColumn("is_anomaly", F.col("event_label").isNotNull())
+    first = hit.groupBy("ts", "app_id", "lpar").agg(F.min_by("kind", "event_seq").alias("_kind"))
+    given = F.coalesce("is_anomaly", F.lit(False))
+    out = keyed.drop("hour").join(first, ["ts", "app_id", "lpar"], "left")
+    out = out.withColumn("event_label", F.when(given, F.col("event_label")).otherwise(F.coalesce("_kind", "event_label")))
+    return out.withColumn("is_anomaly", given | F.col("_kind").isNotNull()).drop("_kind")
+
 
+def spikes(rows: DataFrame, width: int = 20, z: float = 6.0, least: float = 0.0) -> DataFrame:
+    """Rows with robust z scores from centred rolling medians per app and interval, and whether they are spikes.
 
-def spikes(rows: DataFrame, width: int = 20, z: float = 6.0) -> DataFrame:
-    """Rows with robust z scores from centred rolling medians per app and interval, and whether they are spikes."""
+    Loads below `least` and rows with is_anomaly set are none.
+    """
     lane = Window.partitionBy("app_id", "interval_idx")
     near = lane.orderBy("business_date").rowsBetween(-(width // 2), width - width // 2 - 1)
 
@@ -104,7 +118,30 @@ def spikes(rows: DataFrame, width: int = 20, z: float = 6.0) -> DataFrame:
     df = rows.withColumns({"_n": F.count("*").over(lane), "_m": rolled("mips")}).withColumn("_m", filled("_m"))
     df = df.withColumn("_d", F.abs(F.col("mips") - F.col("_m"))).withColumn("_s", rolled("_d")).withColumn("_s", filled("_s") * 1.4826)
     score = F.when(F.col("_n") >= max(5, width // 2), (F.col("mips") - F.col("_m")) / F.nullif(F.col("_s"), F.lit(0.0)))
-    return df.withColumn("z", F.coalesce(score, F.lit(0.0))).withColumn("is_spike", F.col("z") > z).drop("_n", "_m", "_d", "_s")
+    unexplained = ~F.coalesce("is_anomaly", F.lit(False)) if "is_anomaly" in rows.columns else F.lit(True)
+    high = (F.col("z") > z) & F.coalesce(F.col("mips") >= least, F.lit(False)) & unexplained
+    return df.withColumn("z", F.coalesce(score, F.lit(0.0))).withColumn("is_spike", high).drop("_n", "_m", "_d", "_s")
+
+
+def anomaly_report(rows: DataFrame) -> DataFrame:
+    """Per app and label: intervals, dates and largest load of the anomalies, and of spikes nothing explains where rows have is_spike."""
+    figures = [F.count("*").alias("intervals"), F.countDistinct("business_date").alias("days"), F.max("mips").alias("max_mips")]
+    out = rows.where("is_anomaly").groupBy("app_id", F.col("event_label").alias("label")).agg(*figures)
+    if "is_spike" in rows.columns:
+        out = out.unionByName(rows.where("is_spike").groupBy("app_id").agg(*figures).withColumn("label", F.lit(UNEXPLAINED)))
+    return out.select("app_id", "label", "intervals", "days", "max_mips")
+
+
+def missing(rows: DataFrame, grid: Grid = Grid()) -> DataFrame:
+    """One row: expected (intervals of all business days from the first date to the last, for each app), present, missing.
+
+    `missing` is below 0 where apps have rows of several lpars.
+    """
+    seen = rows.agg(F.min("business_date").alias("a"), F.max("business_date").alias("b"), F.countDistinct("app_id").alias("apps"), F.count("*").alias("present"))
+    day = F.explode_outer(F.sequence("a", "b", F.expr("INTERVAL 1 DAY")))
+    days = seen.select("apps", "present", day.alias("d")).groupBy("apps", "present").agg(F.count_if(business_day(F.col("d"), grid)).alias("days"))
+    expected = F.col("days") * F.col("apps") * grid.per_day
+    return days.select(expected.alias("expected"), "present", (expected - F.col("present")).alias("missing"))
 
 
 def clean_days(rows: DataFrame) -> DataFrame:

@@ -1,8 +1,9 @@
-"""Features, baselines, conformal calibration, reducers, evaluation and scenarios."""
+"""Features, baselines, reducers, evaluation and scenarios."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -75,24 +76,6 @@ def seasonal_naive(rows: DataFrame, quantiles: list[float], days: int = 250) ->
     return out.select("app_id", "interval_idx", "dow", F.element_at(F.array(*map(F.lit, quantiles)), F.col("i") + 1).alias("tau"), (F.col("base") * F.coalesce("r", F.lit(1.0))).alias("value"))
 
 
-def conformal(scored: DataFrame, least: int = 200) -> DataFrame:
-    """Per app and tau: the shift that makes y <= q hold with probability tau; pooled where an app has few scores.
-
-    `scored` has app_id, tau, y and q.
-    """
-    s = scored.select("app_id", "tau", (F.col("y") - F.col("q")).alias("s"))
-
-    def shift(keys: list[str]) -> DataFrame:
-        by = Window.partitionBy(*keys)
-        df = s.withColumns({"n": F.count("*").over(by), "rn": F.row_number().over(by.orderBy("s"))})
-        level = F.least(F.lit(1.0), F.ceil((F.col("n") + 1) * F.round("tau", 9)) / F.col("n"))
-        return df.where(F.col("rn") == F.ceil(F.round(level * (F.col("n") - 1), 9)) + 1).select(*keys, "n", F.col("s").alias("adj"))
-
-    own, pooled = shift(["app_id", "tau"]), shift(["tau"]).select("tau", F.col("adj").alias("pooled"))
-    few = F.col("n") < least
-    return own.join(pooled, "tau").select("app_id", "tau", F.when(few, F.col("pooled")).otherwise(F.col("adj")).alias("adj"), few.alias("used_pooled"), F.col("n").alias("n_scores"))
-
-
 def coverage(scored: DataFrame) -> DataFrame:
     """Per tau: share of y <= q, its error and z, and the pinball loss."""
     e = F.col("y") - F.col("q")
@@ -157,11 +140,31 @@ def r4ha(rows: DataFrame, keys: list[str], width: int) -> DataFrame:
     return df.groupBy(*keys, "business_date").agg(F.coalesce(F.max(F.when(F.col("c") == width, F.col("a"))), F.lit(0.0)).alias("r4ha"))
 
 
-def scenario(forecast: DataFrame, multiplier: dict[str, float], steps: dict[str, tuple[str, float]], apps: list[str]) -> DataFrame:
-    """value times level multipliers and steps from a date on (inclusive), by app."""
-    if unknown := (set(multiplier) | set(steps)) - set(apps):
+def scenario(
+    forecast: DataFrame, multiplier: dict[str, float], steps: dict[str, tuple[str, float]], apps: list[str], rates: dict[str, float] | None = None, growth: DataFrame | None = None, anchor: date | None = None
+) -> DataFrame:
+    """value times level multipliers and steps from a date on (inclusive), by app.
+
+    An app in `rates` grows by that rate a year from `anchor` on, in place of its fitted one in `growth` (0 where it has none).
+    """
+    rates = rates or {}
+    if unknown := (set(multiplier) | set(steps) | set(rates)) - set(apps):
         raise KeyError(f"unknown apps: {sorted(unknown)}")
     f = F.lit(1.0)
+    if rates:
+        if anchor is None:
+            raise ValueError("rates need an anchor")
+        columns = forecast.columns
+        old = F.lit(0.0)
+        if growth is not None:
+            # One row an app named in `rates`, which a user writes.
+            forecast = forecast.join(F.broadcast(growth.where(F.col("app_id").isin(list(rates))).select("app_id", F.col("growth").alias("_old"))), "app_id", "left")
+            old = F.coalesce("_old", F.lit(0.0))
+        years = F.datediff("business_date", F.lit(anchor)) / 365.25
+        for app, rate in sorted(rates.items()):
+            f = f * F.when(F.col("app_id") == app, F.exp((rate - old) * years)).otherwise(1.0)
+        forecast = forecast.withColumn("value", F.col("value") * f).select(*columns)
+        f = F.lit(1.0)
     for app, m in sorted(multiplier.items()):
         f = f * F.when(F.col("app_id") == app, m).otherwise(1.0)
     for app, (day, m) in sorted(steps.items()):

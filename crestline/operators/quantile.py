@@ -241,10 +241,10 @@ def forecast(dense: DataFrame, future: DataFrame, scales: DataFrame, growth: Dat
     return tail.select(*columns).groupBy("app_id").applyInPandas(run, "app_id string, business_date date, interval_idx int, q array<double>")
 
 
-def to_long(cube: DataFrame, taus: Sequence[float]) -> DataFrame:
-    """One row per cell and quantile: tau, value."""
+def to_long(cube: DataFrame, taus: Sequence[float], keep: Sequence[str] = ()) -> DataFrame:
+    """One row per cell and quantile: tau, value, and the columns to keep."""
     grid = F.array(*map(F.lit, taus))
-    return cube.select("app_id", "business_date", "interval_idx", F.posexplode("q").alias("i", "value")).withColumn("tau", F.get(grid, F.col("i"))).drop("i")
+    return cube.select("app_id", "business_date", "interval_idx", *keep, F.posexplode("q").alias("i", "value")).withColumn("tau", F.get(grid, F.col("i"))).drop("i")
 
 
 def trained(dense: DataFrame, days: DataFrame, spec: Spec, taus: Sequence[float] = tuple(mod.QUANTILES), backend: str = "quantile_ridge") -> tuple[QuantileRidge, DataFrame, DataFrame]:

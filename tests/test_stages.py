@@ -16,8 +16,13 @@ def test_stages(spark, tmp_path, capsys):
     assert stages.ingest(spark, source, date(2024, 1, 1), date(2024, 12, 31), folder) == ["intervals", "lpar_totals", "events", "submissions"]
     assert main(["tables", folder]) == 0 and "intervals: " in capsys.readouterr().out
     assert stages.diagnostics(spark, folder, runs) in ("PROCEED", "STOP AND RECONSIDER")
+    shares = stages.train(spark, folder, runs)
+    assert all(abs(v - t) < 0.08 for t, v in shares.items())
+    found = runs.find("train").manifest["calibration"]
+    assert found["held_days"] == 60 and found["error_after"] < 0.05
     run = stages.simulate(spark, folder, runs, years=1, paths=20, reducers=["annual_max", "annual_peak_r4ha"])
-    assert runs.verify("simulate") == [] and run.manifest["record"]["pool_days"] >= 30
+    assert runs.verify("simulate") == [] and run.manifest["record"]["pool_days"] >= 30 and run.manifest["record"]["calibrated"]
+    assert "level: " in stages.backtest(spark, folder, runs, horizon=40, folds=1, paths=20)
     assert main(["pack", str(tmp_path / "pack"), "--runs", str(tmp_path / "runs")]) == 0
     assert "annual_peak_r4ha" in (tmp_path / "pack" / "overview.md").read_text()
     assert main(["runs", "simulate", "--runs", str(tmp_path / "runs"), "--verify"]) == 0 and "clean" in capsys.readouterr().out
