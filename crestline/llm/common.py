@@ -5,6 +5,8 @@ from __future__ import annotations
 import ctypes
 import gc
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,6 +55,18 @@ def cut(df: DataFrame) -> DataFrame:
     return out
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 500) -> Iterator[None]:
+    """What runs within hands Python workers at most `rows` rows at a time, which bounds what texts take there; the session's own setting comes back after."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def computed_once(df: DataFrame) -> DataFrame:
     """`df`, with its columns behind a barrier: filters above are not pushed below it, where they would compute costly columns again."""
     return df.select(F.inline(F.array(F.struct(*df.columns))))

@@ -32,7 +32,7 @@ import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from crestline.llm.common import computed_once, cut, give_back, hot_keys, joined, key_of
+from crestline.llm.common import computed_once, cut, give_back, hot_keys, joined, key_of, small_batches
 
 PER_LANGUAGE, GRAMS, TEXT_WEIGHT, SURE, SEED = 1500, 20_000, 40.0, 0.5, 20260101
 #: How often a declared language or an address suffix is right, and the counts behind a host's and a domain's prior.
@@ -136,12 +136,16 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, grams: int = GRAMS) -
                 held.setdefault(name, Counter()).update(trigrams(text))
             rows = [(k, g, n) for k, c in held.items() for g, n in c.items()]
             yield pd.DataFrame(rows, columns=["declared", "gram", "n"])
+            del batch, held, rows
+        give_back()
 
     sums = picked.select("declared", "text").mapInPandas(count, "declared string, gram string, n long").groupBy("declared", "gram").agg(F.sum("n").alias("n"))
     order = Window.partitionBy("declared").orderBy(F.desc("n"), "gram")
     most = sums.withColumn("at", F.row_number().over(order)).where(F.col("at") <= grams)
     counts: dict[str, dict[str, int]] = {}
-    for r in most.collect():  # at most `grams` rows a declared language
+    with small_batches(docs.sparkSession):
+        rows = most.collect()  # at most `grams` rows a declared language
+    for r in rows:
         counts.setdefault(r["declared"], {})[r["gram"]] = r["n"]
     return Model(counts)
 
@@ -163,9 +167,10 @@ def identify(docs: DataFrame, text_weight: float = TEXT_WEIGHT, sure: float = SU
 
     def score(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         scorer = Scorer(shared.value, text_weight)
+        batch = None
         for batch in texts:
             yield pd.Series([scorer(t) for t in batch])
-        del scorer
+        del scorer, batch
         give_back()
 
     scored = F.pandas_udf(score, "array<double>")
@@ -178,9 +183,11 @@ def identify(docs: DataFrame, text_weight: float = TEXT_WEIGHT, sure: float = SU
 
     of_suffix = F.coalesce(*[F.when(F.col("suffix") == k, v) for k, v in SUFFIXES.items()])
     # Whatever was scored is stored, with a number for each row, and read from there from now on.
-    rows = cut(docs.select(
+    rows = docs.select(
         "_row", "declared", "suffix", key_of("host").alias("_h"), key_of("domain").alias("_d"), scored("text").alias("_l"), F.monotonically_increasing_id().alias("_n"),
-    ))
+    )
+    with small_batches(docs.sparkSession):
+        rows = cut(rows)
     evidence = [said(F.col("declared"), DECLARED), said(of_suffix, SUFFIX)]
     first = rows.select("_h", "_d", _posterior(F.col("_l"), evidence).alias("p"))
     sums = [F.sum(F.get("p", F.lit(i))).alias(f"n{i}") for i in range(len(names))]
