@@ -43,6 +43,8 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 _UNITS_KEPT, _FITS_KEPT, _DECODED, _NEVER = 400_000, 600_000, 8192, 2**31
 #: Characters of a window of text, and bytes of a chunk fed to the transducer.
 WINDOW, CHUNK = 65_536, 1024
+#: Documents whose results leave a worker together.
+ROWS = 500
 _PLAIN = re.compile(r" (?=\S)")
 _RUNS = re.compile(r" (?:\s|\Z)")
 _START = re.compile(r"(?<!\s) (?=\S)")
@@ -364,7 +366,9 @@ def _mapped(docs: DataFrame, path: str, columns: list[str], schema: str, make) -
         machine = pickle.loads(shared.value)
         encoder, decoder = Encoder(machine), Decoder(machine.v)
         for batch in batches:
-            yield make(batch, encoder, decoder)
+            # Results leave in parts, so that ids of a whole batch are never held at once.
+            for i in range(0, len(batch), ROWS):
+                yield make(batch.iloc[i : i + ROWS], encoder, decoder)
         del machine, encoder, decoder, batch
         give_back()
 
